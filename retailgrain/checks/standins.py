@@ -6,6 +6,7 @@ Derived columns only: no frame leaves rows of its tables out.
 from __future__ import annotations
 
 import datetime as dt
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -55,7 +56,9 @@ SCOPES = SalesScopes(
 )
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the handle is kept, so its schema is looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -31,3 +31,16 @@ def on_day(df: DataFrame, column: str, day: dt.date) -> DataFrame:
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with a NULL in any grouping key are left out of the grouped result."""
     return df.dropna(subset=list(keys))
+
+
+def all_present(keys: list[str]) -> Column:
+    """Aggregate that is true where no grouping key is NULL.
+
+    A filter on it drops the same groups as ``drop_null_keys``, but stays above the
+    aggregate. That matters where the aggregate is used twice: a filter pushed into
+    one of the uses would make Spark compute it twice.
+    """
+    present = F.lit(True)
+    for k in keys:
+        present = present & F.col(k).isNotNull()
+    return F.bool_and(present)

@@ -23,15 +23,23 @@ def attach_group_total(
     """
     n = _spread(df, buckets)
     rest = [c for c in df.columns if c not in keys]
-    # Hashing every other column also keeps both uses of ``df`` below identical,
-    # so Spark computes it once and reuses the exchange.
     salted = df.withColumn("_sub", F.pmod(F.xxhash64(*rest), F.lit(n)).cast("int"))
-    present = F.lit(True)
-    for k in keys:
-        present = present & F.col(k).isNotNull()
-    per_sub = salted.where(present).groupBy(*keys, "_sub").agg(F.sum(value).alias("_part"))
-    totals = per_sub.select(*keys, "_sub", F.sum("_part").over(Window.partitionBy(*keys)).alias(out))
-    return salted.join(totals, [*keys, "_sub"], "left").select(*df.columns, out)
+    per_sub = salted.groupBy(*keys, "_sub").agg(F.sum(value).alias("_part"))
+    totals = per_sub.select(
+        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
+        F.col("_sub").alias("_total_sub"),
+        F.sum("_part").over(Window.partitionBy(*keys)).alias("_total"),
+    )
+    # Both uses of ``df`` must stay the same plan, so that Spark computes it once and
+    # reuses its exchange: every column is hashed, and the null-safe comparison
+    # keeps Spark from filtering NULL keys out of one of them.
+    same = F.col("_sub") == F.col("_total_sub")
+    known = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+        known = known & F.col(k).isNotNull()
+    joined = salted.join(totals, same, "left")
+    return joined.select(*df.columns, F.when(known, F.col("_total")).alias(out))
 
 
 def collapse_copies(df: DataFrame, count_col: str = "copies") -> DataFrame:

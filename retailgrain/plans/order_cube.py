@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from retailgrain.functions import bucket, exact_cents
-from retailgrain.operators.filters import drop_null_keys
+from retailgrain.operators.filters import all_present
 from retailgrain.operators.projections import tag_first_substring
 from retailgrain.operators.windows import weigh_order_groups
 from retailgrain.rules.fixed_values import CUBE_COLUMNS, OTHER_CITIES, QUANTITY_OTHER
@@ -42,8 +42,9 @@ def order_cube(
         F.sum(exact_cents(F.col("price"))).alias("price_cents"),
         F.sum("line_count").alias("line_count"),
         F.sum(exact_cents(F.col("line_total"))).alias("total_cents"),
+        all_present(CUBE_DIMS).alias("complete"),
     )
-    cells = drop_null_keys(weigh_order_groups(per_order, "order_no"), CUBE_DIMS)
+    cells = weigh_order_groups(per_order, "order_no").where("complete")
     return cells.groupBy("week_start", *CUBE_DIMS).agg(
         (F.sum("price_cents") / F.sum("row_count") / 100.0).alias("mean_price"),
         F.sum("line_count").alias("line_count"),

@@ -26,12 +26,15 @@ def order_lines(
     closed: str = "left",
     exclude_status: str | None = UNPAID_STATUS,
     extra_header_columns: Sequence[str] = (),
+    collapse_first: bool = False,
 ) -> DataFrame:
     """Distinct order lines of a date range with their number of source rows.
 
-    Details are counted per (header, article, price) before they are joined, so
-    repeated lines are combined before any shuffle. The date and status filters
-    reach the header scan, and Spark prunes the details by the headers left.
+    The date and status filters reach the header scan, and Spark prunes the details
+    by the headers left. A header with very many details is split by the skew join,
+    and repeated lines are combined before the grouping shuffles them.
+    ``collapse_first`` also combines them before the join: one more shuffle, worth it
+    when the details hold many copies.
     """
     header_columns = [*HEADER, *extra_header_columns]
     wanted = date_range(headers, "order_date", start, end, closed)
@@ -39,7 +42,10 @@ def order_lines(
         wanted = wanted.where(not_equal_keep_null(F.col("order_status"), exclude_status))
     wanted = wanted.select(F.col("id").alias("header_id"), "delivery_type", *header_columns)
 
-    counted = details.groupBy(*DETAIL).agg(F.count("id").alias("_n"))
+    if collapse_first:
+        counted = details.groupBy(*DETAIL).agg(F.count("id").alias("_n"))
+    else:
+        counted = details.select(*DETAIL, F.col("id").isNotNull().cast("bigint").alias("_n"))
     named = products.select(F.col("id").alias("product_id"), F.col("descr").alias("product_name"))
     methods = deliveries.select(
         F.col("oxid").alias("delivery_type"),

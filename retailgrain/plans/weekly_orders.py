@@ -11,7 +11,7 @@ from retailgrain.functions import week_label, weekend_flag, weekend_label
 from retailgrain.functions.dates import FRIDAY
 from retailgrain.functions.matching import pickup_condition
 from retailgrain.operators.aggregates import conditional_sums
-from retailgrain.operators.filters import drop_null_keys
+from retailgrain.operators.filters import all_present
 from retailgrain.operators.windows import period_change, truncated_weight, weigh_order_groups
 from retailgrain.rules.fixed_values import PICKUP_DELIVERIES
 from retailgrain.rules.tables import MetricRule, ShopRule
@@ -26,14 +26,16 @@ def order_groups(lines: DataFrame, first_weekend_day: int = FRIDAY) -> DataFrame
         "is_weekend": weekend_flag(F.col("order_date"), first_weekend_day),
     })
     grouped = dims.groupBy("order_no", *DETAIL_DIMS).agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum("line_count").alias("line_count")
+        F.count(F.lit(1)).alias("row_count"),
+        F.sum("line_count").alias("line_count"),
+        all_present(DETAIL_DIMS).alias("complete"),
     )
     return weigh_order_groups(grouped, "order_no")
 
 
 def detail_dims(groups: DataFrame) -> DataFrame:
     """Line count and truncated order weight per dimensions; rows with a NULL dimension are left out."""
-    detail = drop_null_keys(groups, DETAIL_DIMS).groupBy(*DETAIL_DIMS).agg(
+    detail = groups.where("complete").groupBy(*DETAIL_DIMS).agg(
         F.sum("line_count").alias("line_count"),
         F.sum("whole_orders").alias("_whole"),
         F.sum("part_weight").alias("_part"),
@@ -79,7 +81,8 @@ def weekly_metrics(
             *[F.sum(F.when(belongs, F.col(m)).otherwise(0)).alias(m) for m in numbered]
         )
     elif counting == "distinct":
-        rows = drop_null_keys(groups, [*DETAIL_DIMS, "order_no"]).withColumn("_address", str_normalize(F.col("address")))
+        rows = groups.where(F.col("complete") & F.col("order_no").isNotNull())
+        rows = rows.withColumn("_address", str_normalize(F.col("address")))
         both = rows.withColumn("period_kind", F.explode(F.lit(["week", "weekend"])))
         belongs = (F.col("period_kind") == "week") | F.col("is_weekend")
         per_order = both.groupBy("week_start", "period_kind", "order_no").agg(

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     # Split a hot join key even where that costs one more shuffle downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # Columnar files grow several times in memory; without this, sides are broadcast that should not be.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _spread(df: DataFrame, buckets: int | None) -> int:
@@ -18,8 +18,8 @@ def attach_group_total(
     sub-key from its remaining columns, sums are taken per (key, sub-key), added
     up per key over at most ``buckets`` rows, and joined back on (key, sub-key),
     so a hot key is spread over as many tasks as there are shuffle partitions and
-    nothing is replicated for the others. NULL keys get NULL. Rows should be
-    distinct (aggregate copies first), else equal rows share one sub-key.
+    nothing is replicated for the others. NULL keys get NULL. Equal rows share a
+    sub-key: aggregate copies first, or leave them to the skew join.
     """
     n = _spread(df, buckets)
     rest = [c for c in df.columns if c not in keys]
@@ -42,9 +42,15 @@ def attach_group_total(
     return joined.select(*df.columns, F.when(known, F.col("_total")).alias(out))
 
 
-def collapse_copies(df: DataFrame, count_col: str = "copies") -> DataFrame:
-    """One row per distinct row with its number of copies; copies are combined before the shuffle."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count_col))
+def collapse_copies(df: DataFrame, count_col: str = "copies", negative: Column | None = None) -> DataFrame:
+    """One row per distinct row with its number of copies; copies are combined before the shuffle.
+
+    Rows that satisfy ``negative`` get their number with a minus sign. A filter on that
+    sign stays above this aggregate, where a filter on the row itself would be pushed
+    below it; so several uses of the result share one exchange.
+    """
+    one = F.lit(1) if negative is None else F.when(negative, -1).otherwise(1)
+    return df.groupBy(*df.columns).agg(F.sum(one).alias(count_col))
 
 
 def chunk_copies(df: DataFrame, count_col: str = "copies", chunk: int = 100_000) -> DataFrame:

@@ -29,10 +29,14 @@ def match_type(side: Column, labels: MatchLabels) -> Column:
     )
 
 
+def no_stock(quantity: str) -> Column:
+    return trunc_int(F.coalesce(quantity, F.lit(0.0))) == 0
+
+
 def zero_orphan(labels: MatchLabels) -> Column:
     """One-sided rows that hold no stock."""
-    own = (F.col("match_type") == labels.own_only) & (trunc_int(F.col("own_quantity")) == 0)
-    theirs = (F.col("match_type") == labels.supplier_only) & (trunc_int(F.col("quantity")) == 0)
+    own = (F.col("match_type") == labels.own_only) & no_stock("own_quantity")
+    theirs = (F.col("match_type") == labels.supplier_only) & no_stock("quantity")
     return own | theirs
 
 
@@ -53,14 +57,14 @@ def reconcile(
     """
     theirs = supplier.withColumn("barcode", normalize_barcode(F.col("barcode"))).where(F.col("barcode").isNotNull())
     theirs = map_lookup(theirs, "barcode", exceptions, "from_code", "to_code")
-    theirs = collapse_copies(theirs.drop(*PROVENANCE), "_theirs")
+    theirs = collapse_copies(theirs.drop(*PROVENANCE), "_theirs", no_stock("quantity"))
     own = snapshot.select(
         F.col("barcode").alias("own_barcode"),
         F.col("quantity").alias("own_quantity"),
         F.col("name").alias("own_name"),
         F.col("short_name").alias("own_short_name"),
     )
-    own = collapse_copies(own, "_own")
+    own = collapse_copies(own, "_own", no_stock("own_quantity"))
 
     rows = full_outer_match(theirs, own, "barcode", "own_barcode")
     rows = rows.withColumn("match_type", match_type(F.col("side"), labels)).na.fill(
@@ -68,8 +72,11 @@ def reconcile(
     )
     rows = rows.withColumns({
         "diff": trunc_int(F.col("own_quantity")) - trunc_int(F.col("quantity")),
-        "copies": F.coalesce("_theirs", F.lit(1)) * F.coalesce("_own", F.lit(1)),
-    }).where(~zero_orphan(labels)).drop("side", "_theirs", "_own")
+        "copies": F.abs(F.coalesce("_theirs", F.lit(1)) * F.coalesce("_own", F.lit(1))),
+    })
+    # One-sided rows without stock are left out; the sign of their number marks them.
+    orphan = F.when(F.col("side") == "left", F.col("_theirs") < 0).when(F.col("side") == "right", F.col("_own") < 0)
+    rows = rows.where(~F.coalesce(orphan, F.lit(False))).drop("side", "_theirs", "_own")
     if only_differences:
         rows = rows.where(F.col("diff") != 0)
     if not ordered:

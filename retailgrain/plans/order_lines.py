@@ -52,11 +52,9 @@ def order_lines(
         F.col("trade_network_id").alias("company_id"),
         F.col("descr").alias("delivery"),
     )
-    joined = (
-        counted.join(wanted, "header_id")
-        .join(named, "product_id", "left")
-        .join(methods, ["delivery_type", "company_id"], "left")
-    )
+    # The delivery name belongs to the header, so it is joined before the lines multiply it.
+    delivered = wanted.join(methods, ["delivery_type", "company_id"], "left")
+    joined = counted.join(delivered, "header_id").join(named, "product_id", "left")
     keys = [*header_columns, "delivery", "product_name", "supplier_article_id", "price", "guarantee"]
     lines = joined.groupBy(*keys).agg(F.sum("_n").alias("line_count"))
     return lines.withColumns({

@@ -146,3 +146,78 @@ def test_weekly_report_scans_lines_once(spark, sf_dir):
     final = plan(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("l_linenumber") <= 4 and final.count("lineitem.parquet") == 1
+
+
+@pytest.fixture
+def eager_skew(spark):
+    """Skew handling that starts at a few kilobytes, and no broadcasts."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot_side(spark, n, key, value):
+    hot = F.when(F.col("id") % 3 != 0, F.lit(7)).otherwise(F.col("id"))
+    return spark.range(0, n, 1, 8).select(hot.alias(key), F.sha1(F.col("id").cast("string")).alias(value))
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+def test_full_outer_match_splits_a_hot_key(spark, eager_skew):
+    left = hot_side(spark, 6000, "lk", "lv")
+    right = spark.range(5, 500).select(F.col("id").alias("rk"), F.sha1(F.col("id").cast("string")).alias("rv"))
+    matched = full_outer_match(left, right, "lk", "rk")
+    assert "skew=true" in final_plan(matched)
+    plain = left.join(right, F.col("lk") == F.col("rk"), "full_outer")
+    assert rows_of(matched.drop("side")) == rows_of(plain)
+
+
+def test_order_lines_split_a_hot_header(spark, eager_skew):
+    import datetime as dt
+
+    from retailgrain.plans import order_lines
+
+    headers = spark.range(0, 3000).select(
+        "id", F.lit(1000).alias("company_id"), F.col("id").cast("string").alias("order_no"),
+        F.lit(dt.datetime(2021, 1, 5)).alias("order_date"), F.lit("complete").alias("order_status"),
+        *[F.lit("x").alias(c) for c in ("payment_status", "delivery_type", "street", "country", "remark")],
+    )
+    details = hot_side(spark, 6000, "header_id", "supplier_article_id").select(
+        F.monotonically_increasing_id().alias("id"), "header_id", F.lit(1).alias("product_id"), "supplier_article_id",
+        F.lit(2.5).alias("price"), F.lit(None).cast("string").alias("guarantee"),
+    )
+    products = spark.createDataFrame([(1, None)], "id bigint, descr string")
+    deliveries = spark.createDataFrame([("x", 1000, "y")], "oxid string, trade_network_id int, descr string")
+    lines = order_lines(headers, details, products, deliveries, dt.date(2021, 1, 4), dt.date(2021, 1, 11))
+    assert "skew=true" in final_plan(lines)
+    counts = {r.order_no: r.n for r in lines.groupBy("order_no").agg(F.sum("line_count").alias("n")).collect()}
+    assert counts["7"] == 4000 and sum(counts.values()) == 4000 + 1000
+
+
+def test_group_total_spreads_copies(spark, eager_skew):
+    """Equal rows share a sub-key; the skew join splits them."""
+    # Equal rows compress to almost nothing.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2k")
+    cold = F.col("id") % 300 == 0
+    df = spark.range(0, 60000, 1, 8).select(
+        F.when(cold, F.col("id")).otherwise(7).alias("k"),
+        F.when(cold, F.col("id") % 5).otherwise(1).alias("v"),
+        F.when(cold, F.sha1(F.col("id").cast("string"))).otherwise("x" * 40).alias("pad"),
+    )
+    total = attach_group_total(df, ["k"], "v", "t")
+    assert "skew=true" in final_plan(total)
+    assert total.where("k = 7").agg(F.min("t"), F.max("t"), F.count("t")).first()[:] == (59800, 59800, 59800)

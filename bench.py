@@ -23,20 +23,15 @@ HEADLINES = (
     "report_order_cube",
     "report_yoy_sales",
     "report_stock_recon",
-    "report_stock_recon_summary",
     "agg_group_count",
     "agg_group_sum_fact",
     "agg_scopes",
-    "agg_cube_rollup",
-    "agg_shop_pivot",
     "win_order_weight",
     "win_share_of_total",
-    "win_period_change",
     "join_inner_equi",
     "join_full_outer",
     "join_first_substring",
     "join_rule_theta",
-    "join_densify",
     "filter_date_range",
     "content_fingerprint",
     "clean_text",

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retailgrain.checks import standins as s
-from retailgrain.checks.aggregates import CUBE_SQL, LABELS, RECON_SQL, SECTIONS_SQL, SUMMARY_SQL, recon
+from retailgrain.checks.aggregates import CUBE_SQL, LABELS, RECON_SQL, SECTIONS_SQL, SUMMARY_SQL, WEEKLY_SQL, recon
 from retailgrain.checks.registry import check
 from retailgrain.checks.windows import CHANGE_SQL, PCT_CHANGE_SQL
 from retailgrain.operators.yoy import CONVERSIONS, BASKETS, DERIVED_METRICS, RATIO_METRICS, SUM_METRICS
 from retailgrain.plans.order_cube import order_cube, to_cube_table
 from retailgrain.plans.stock_recon import recon_summary
-from retailgrain.plans.weekly_orders import weekly_report
+from retailgrain.plans.weekly_orders import weekly_metrics, weekly_report, weekly_shop_metrics, weekly_table
 from retailgrain.plans.yoy_sales import fact_sums, yoy_bundle
 from retailgrain.rules.fixed_values import QUANTITY_BUCKETS, metric_rules, price_buckets
+from retailgrain.rules.tables import rule_table
 
+_NAMES = [*[r.metric for r in metric_rules()], *[r.label for r in s.SHOP_RULES]]
 _MONDAY = "week_start"
 WEEK_LABELS_SQL = f"""CASE WHEN period_kind = 'week' THEN strftime({_MONDAY}, '%m-%d') ELSE strftime({_MONDAY} + INTERVAL 4 DAY, '%m-%d') END
   || ' iki ' || strftime({_MONDAY} + INTERVAL 6 DAY, '%m-%d')"""
@@ -31,6 +33,29 @@ def report_weekly_orders(spark, sf):
     })
 
 
+@check("report_weekly_table", f"""
+WITH {WEEKLY_SQL}
+SELECT CAST(week_start AS VARCHAR) AS week_start, CAST(weekofyear(week_start) AS BIGINT) AS iso_week,
+  strftime(week_start + INTERVAL 4 DAY, '%m-%d') || ' iki ' || strftime(week_start + INTERVAL 6 DAY, '%m-%d') AS label,
+  {", ".join(f"CAST(sum(value) FILTER (metric = '{name}') AS BIGINT) AS metric_{i}" for i, name in enumerate(_NAMES))}
+FROM weekly WHERE period_kind = 'weekend' GROUP BY week_start""")
+def report_weekly_table(spark, sf):
+    metrics = weekly_metrics(s.lines(spark, sf), metric_rules(), s.SHOP_RULES)
+    table = weekly_table(metrics, _NAMES, "weekend").withColumns({
+        "week_start": F.col("week_start").cast("string"), "iso_week": F.col("iso_week").cast("bigint"),
+    })
+    return table.toDF("week_start", "iso_week", "label", *[f"metric_{i}" for i in range(len(_NAMES))])
+
+
+@check("report_weekly_shops", f"""
+WITH {WEEKLY_SQL}
+SELECT CAST(week_start AS VARCHAR) AS week_start, period_kind, metric, value FROM weekly
+WHERE value <> 0 AND metric IN ({", ".join(f"'{r.label}'" for r in s.SHOP_RULES)})""")
+def report_weekly_shops(spark, sf):
+    weekly = weekly_shop_metrics(s.lines(spark, sf), rule_table(spark, s.SHOP_RULES))
+    return weekly.withColumn("week_start", F.col("week_start").cast("string"))
+
+
 @check("report_order_cube", f"""
 WITH {CUBE_SQL}
 SELECT iso_week AS "Savaite", week_label AS "Savaites_xx_xx", channel AS "Eshop", order_status AS "Uzsakymo_busena",

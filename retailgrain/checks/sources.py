@@ -138,9 +138,12 @@ def sink_delete_matching(spark, sf):
 @check("sink_replace", _CUBE_TABLE_SQL)
 def sink_replace(spark, sf):
     name = _new_table(spark, cube_schema())
-    cube = _cube(spark, sf)
-    sources.append_rows(cube, name)
-    sources.replace_rows(cube, name)
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in cube_schema()}
+    part = s.table(spark, sf, "part").select(*[
+        (F.col("p_name") if c == "Preke" else value).alias(c) for c, value in empty.items()
+    ])
+    sources.append_rows(part, name)
+    sources.replace_rows(_cube(spark, sf), name)  # nothing of the first load stays
     return spark.table(name).groupBy("Savaite", "Eshop", "Miestas").agg(
         F.count(F.lit(1)).alias("cells"), F.sum("Kiekis_uzsakymu").cast("bigint").alias("lines")
     )

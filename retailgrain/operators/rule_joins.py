@@ -9,9 +9,14 @@ once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from retailgrain.functions.text import str_normalize
+from retailgrain.operators.projections import tag_first_substring
+from retailgrain.rules.fixed_values import OTHER_CITIES
+from retailgrain.rules.tables import CityRule, read_rules
 
 
 def _pieces(text: Column, size: int) -> Column:
@@ -51,6 +56,23 @@ def tag_first_substring_by_join(
     )
 
 
+def tag_by_rules(
+    df: DataFrame,
+    text: str,
+    out: str,
+    rules: Sequence[CityRule] | DataFrame,
+    default: str = OTHER_CITIES,
+    strategy: str = "first",
+) -> DataFrame:
+    """First matching rule from a list or a table; short tables are inlined, long ones joined."""
+    if isinstance(rules, DataFrame):
+        inlined = read_rules(rules, CityRule)
+        if inlined is None:
+            return tag_first_substring_by_join(df, text, out, rules, default, strategy)
+        rules = inlined
+    return tag_first_substring(df, text, out, rules, default, strategy)
+
+
 def shop_pairs_by_join(df: DataFrame, address: str, rules: DataFrame) -> DataFrame:
     """(subject, ordinal) of every shop rule a distinct address satisfies, for rule tables of any length."""
     texts = df.select(str_normalize(F.col(address)).alias("subject")).where(F.col("subject").isNotNull()).distinct()

@@ -1,7 +1,7 @@
 from retailgrain.plans.order_cube import order_cube, to_cube_table
 from retailgrain.plans.order_lines import order_lines
 from retailgrain.plans.stock_recon import MatchLabels, recon_summary, reconcile
-from retailgrain.plans.weekly_orders import weekly_metrics, weekly_report
+from retailgrain.plans.weekly_orders import weekly_metrics, weekly_report, weekly_shop_metrics, weekly_table
 from retailgrain.plans.yoy_sales import SalesScopes, fact_sums, yoy_bundle, yoy_sections
 
 __all__ = [
@@ -15,6 +15,8 @@ __all__ = [
     "to_cube_table",
     "weekly_metrics",
     "weekly_report",
+    "weekly_shop_metrics",
+    "weekly_table",
     "yoy_bundle",
     "yoy_sections",
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from retailgrain.functions import bucket, exact_cents
 from retailgrain.operators.filters import all_present
-from retailgrain.operators.projections import tag_first_substring
+from retailgrain.operators.rule_joins import tag_by_rules
 from retailgrain.operators.windows import weigh_order_groups
 from retailgrain.rules.fixed_values import CUBE_COLUMNS, OTHER_CITIES, QUANTITY_OTHER
 from retailgrain.rules.tables import BucketBound, CityRule
@@ -21,7 +21,7 @@ CUBE_DIMS = [
 
 def order_cube(
     lines: DataFrame,
-    cities: Sequence[CityRule],
+    cities: Sequence[CityRule] | DataFrame,
     price_bounds: Sequence[BucketBound],
     quantity_bounds: Sequence[BucketBound],
     other_city: str = OTHER_CITIES,
@@ -33,7 +33,7 @@ def order_cube(
     The mean is over lines, not weighted by their count. Cells with a NULL
     dimension are left out, after their lines have counted for the order.
     """
-    tagged = tag_first_substring(lines, "address", "city", cities, other_city, strategy).withColumns({
+    tagged = tag_by_rules(lines, "address", "city", cities, other_city, strategy).withColumns({
         "price_bucket": bucket(F.col("price"), price_bounds),
         "quantity_bucket": bucket(F.col("line_count"), quantity_bounds, QUANTITY_OTHER),
     })

@@ -12,6 +12,7 @@ from retailgrain.functions.dates import FRIDAY
 from retailgrain.functions.matching import pickup_condition
 from retailgrain.operators.aggregates import conditional_sums
 from retailgrain.operators.filters import all_present
+from retailgrain.operators.rule_joins import shop_pairs_by_join
 from retailgrain.operators.windows import period_change, truncated_weight, weigh_order_groups
 from retailgrain.rules.fixed_values import PICKUP_DELIVERIES
 from retailgrain.rules.tables import MetricRule, ShopRule
@@ -105,6 +106,35 @@ def weekly_metrics(
     )
 
 
+def weekly_shop_metrics(
+    lines: DataFrame,
+    shop_rules: DataFrame,
+    pickup_deliveries: Sequence[str] = PICKUP_DELIVERIES,
+    first_weekend_day: int = FRIDAY,
+) -> DataFrame:
+    """The shop part of ``weekly_metrics`` for a rule table of any length, matched by equi-joins.
+
+    Lists the weeks and shops that had orders; all others are 0.
+    """
+    detail = detail_dims(order_groups(lines, first_weekend_day))
+    picked_up = detail.where(pickup_condition(F.col("delivery"), pickup_deliveries))
+    per_address = picked_up.groupBy("week_start", "is_weekend", str_normalize(F.col("address")).alias("subject")).agg(
+        F.sum("orders").alias("orders")
+    )
+    labels = shop_rules.select("ordinal", F.concat("address", F.lit(", "), "city").alias("metric"))
+    pairs = shop_pairs_by_join(picked_up, "address", shop_rules).join(labels, "ordinal")
+    kinds = F.when(F.col("is_weekend"), F.lit(["week", "weekend"])).otherwise(F.lit(["week"]))
+    tagged = per_address.join(pairs, "subject").withColumn("period_kind", F.explode(kinds))
+    return tagged.groupBy("week_start", "period_kind", "metric").agg(F.sum("orders").alias("value")).where("value <> 0")
+
+
+def weekly_table(metrics: DataFrame, names: Sequence[str], period_kind: str = "week") -> DataFrame:
+    """One row per week with a column per metric, in week order; the names are given, so no job looks for them."""
+    rows = metrics.where(F.col("period_kind") == period_kind)
+    wide = rows.groupBy("week_start", "iso_week", "label").pivot("metric", list(names)).agg(F.sum("value"))
+    return wide.orderBy("week_start")
+
+
 def weekly_report(lines: DataFrame, metric_rules: Sequence[MetricRule], *args, **kwargs) -> DataFrame:
     """``weekly_metrics`` plus the rounded % change against the previous period of the same kind."""
     return period_change(weekly_metrics(lines, metric_rules, *args, **kwargs), ["period_kind", "metric"], "week_start")

@@ -22,6 +22,12 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# Only a new session can take these.
+STATIC_CONF = {
+    # Recording the Python call site of every column slows down building wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 _fallback_dir: str | None = None
 
 
@@ -37,7 +43,7 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())
 

@@ -12,7 +12,7 @@ from retailgrain.operators.yoy import CONVERSIONS, BASKETS, DERIVED_METRICS, RAT
 from retailgrain.plans.order_cube import order_cube, to_cube_table
 from retailgrain.plans.stock_recon import recon_summary
 from retailgrain.plans.weekly_orders import weekly_metrics, weekly_report, weekly_shop_metrics, weekly_table
-from retailgrain.plans.yoy_sales import fact_sums, yoy_bundle
+from retailgrain.plans.yoy_sales import fact_sums, yoy_bundle, yoy_report
 from retailgrain.rules.fixed_values import QUANTITY_BUCKETS, metric_rules, price_buckets
 from retailgrain.rules.tables import rule_table
 
@@ -92,6 +92,12 @@ def report_yoy_sales(spark, sf):
     return yoy_bundle(fact_sums(s.facts(spark, sf)), s.SCOPES)
 
 
+@check("report_yoy_with_date", f"""
+SELECT *, (SELECT strftime(max(o_orderdate), '%Y-%m-%d') FROM orders) AS data_until FROM ({BUNDLE_SQL})""")
+def report_yoy_with_date(spark, sf):
+    return yoy_report(s.facts(spark, sf), s.SCOPES).withColumn("data_until", F.col("data_until").cast("string"))
+
+
 @check("reshape_report_bundle", f"""
 SELECT section, count(*) AS metric_rows, CAST(sum(value) AS BIGINT) AS checksum FROM ({BUNDLE_SQL}) GROUP BY 1""")
 def reshape_report_bundle(spark, sf):

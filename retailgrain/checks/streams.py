@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from retailgrain.checks import standins as s
 from retailgrain.checks.registry import check
-from retailgrain.sources import write_csv
 from retailgrain.session import shared_dir
 from retailgrain.streaming import intake_stock_files, weekly_counts_stream
 

@@ -10,6 +10,7 @@ from retailgrain.checks.registry import check
 from retailgrain.operators import yoy
 from retailgrain.operators.aggregates import group_sums
 from retailgrain.plans.yoy_sales import fact_sums
+from retailgrain.plans.yoy_sales import max_date as last_day
 
 KEYS = ["region", "shop_name", "channel"]
 
@@ -67,4 +68,4 @@ def yoy_basket_delta(spark, sf):
 
 @check("max_date", f"WITH {s.FACTS_SQL} SELECT CAST(max(full_date) AS VARCHAR) AS full_date FROM facts")
 def max_date(spark, sf):
-    return s.facts(spark, sf).agg(F.max("full_date").cast("string").alias("full_date"))
+    return last_day(s.facts(spark, sf)).select(F.col("full_date").cast("string").alias("full_date"))

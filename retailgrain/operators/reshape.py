@@ -18,8 +18,13 @@ def periods_to_columns(df: DataFrame, row: str, period: str, periods: Sequence,
     return df.groupBy(row).pivot(period, list(periods)).agg(F.first(value, ignorenulls=True))
 
 
-def keyed_map(df: DataFrame, key: str, metrics: Sequence[str]) -> DataFrame:
-    """One map (key -> value) per metric. For report-sized results only: one row per key."""
+def keyed_map(df: DataFrame, key: str, metrics: Sequence[str], max_keys: int = 10_000) -> DataFrame:
+    """One map (key -> value) per metric in a single row, for report-sized results.
+
+    Refuses a result with more rows than ``max_keys``; those stay tables.
+    """
+    if df.limit(max_keys + 1).count() > max_keys:
+        raise ValueError(f"more than {max_keys} keys do not belong in one map")
     maps = [F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, m)))).alias(m) for m in metrics]
     return df.agg(*maps)
 

@@ -1,10 +1,10 @@
 """Rule tables too long for inlining, matched through equi-joins on a piece of the pattern.
 
-Every text is reduced to its distinct pieces of the length of the shortest
-pattern; a rule can only occur in a text that holds the rule's first piece. So
-candidates come from an equi-join, and a substring test confirms them. Texts are
-made distinct first, therefore a text that fills a third of the table is matched
-once.
+A pattern of 20 characters can only occur in a text that holds the pattern's first 16
+characters. So every text is reduced to its distinct pieces, candidates come from an
+equi-join of pieces, and a substring test confirms them. The piece is the longest power
+of two that fits in the pattern, up to 32, which keeps candidates few. Texts are made
+distinct first, therefore a text that fills a third of the table is matched once.
 """
 
 from __future__ import annotations
@@ -19,10 +19,18 @@ from retailgrain.rules.fixed_values import OTHER_CITIES
 from retailgrain.rules.tables import CityRule, read_rules
 
 
+PIECE_SIZES = (32, 16, 8, 4, 2, 1)
+
+
+def _piece_size(pattern: Column) -> Column:
+    """Largest piece size that fits in the pattern; NULL for an empty one."""
+    return F.coalesce(*[F.when(F.length(pattern) >= size, F.lit(size)) for size in PIECE_SIZES])
+
+
 def _pieces(text: Column, size: int) -> Column:
     starts = F.sequence(F.lit(1), F.length(text) - size + 1)
     cut = F.transform(starts, lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(F.length(text) >= size, F.array_distinct(cut))
+    return F.when(F.length(text) >= size, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
 
 
 def substring_pairs(texts: DataFrame, rules: DataFrame, pattern: str) -> DataFrame:
@@ -30,17 +38,18 @@ def substring_pairs(texts: DataFrame, rules: DataFrame, pattern: str) -> DataFra
 
     ``texts`` has one normalized column ``subject``, ``rules`` any columns.
     """
-    ready = rules.withColumn("_pattern", str_normalize(F.col(pattern)))
-    always = ready.where(F.length("_pattern") == 0).limit(1).count()
-    if always:
+    ready = rules.withColumn("_pattern", str_normalize(F.col(pattern))).where(F.col("_pattern").isNotNull())
+    ready = ready.withColumn("_size", _piece_size(F.col("_pattern")))
+    # At most one row per piece size.
+    sizes = [r[0] for r in ready.select("_size").distinct().collect()]
+    if None in sizes:
         raise ValueError("a rule pattern must not be empty")
-    size = ready.agg(F.min(F.length("_pattern"))).first()[0]
-    if size is None:
-        size = 1
-    keyed_rules = ready.withColumn("_piece", F.substring("_pattern", 1, size))
-    keyed_texts = texts.select("subject", F.explode(_pieces(F.col("subject"), size)).alias("_piece"))
+    # Pieces of different length never compare equal, so one join serves all sizes.
+    keyed_rules = ready.withColumn("_piece", F.col("_pattern").substr(F.lit(1), F.col("_size")))
+    cut = F.concat(F.array().cast("array<string>"), *[_pieces(F.col("subject"), size) for size in sizes])
+    keyed_texts = texts.select("subject", F.explode(cut).alias("_piece"))
     pairs = keyed_texts.join(keyed_rules, "_piece").where(F.contains("subject", "_pattern"))
-    return pairs.drop("_piece", "_pattern")
+    return pairs.drop("_piece", "_pattern", "_size")
 
 
 def tag_first_substring_by_join(

@@ -119,3 +119,13 @@ def yoy_bundle(fact: DataFrame, scopes: SalesScopes) -> DataFrame:
     rows = metrics_to_rows(yoy_sections(fact, scopes), ["section", "key", "subkey"], metrics)
     percent = F.col("metric").endswith("_pct") | F.col("metric").endswith("_vs_total")
     return rows.where(F.col("value").isNotNull() & ((F.col("section") != SHARE_SECTION) | percent))
+
+
+def max_date(facts: DataFrame) -> DataFrame:
+    """The last day the facts hold."""
+    return facts.agg(F.max("full_date").alias("full_date"))
+
+
+def yoy_report(facts: DataFrame, scopes: SalesScopes) -> DataFrame:
+    """The complete sales report, with the last day of the data on every row."""
+    return yoy_bundle(fact_sums(facts), scopes).withColumn("data_until", max_date(facts).scalar())

@@ -15,11 +15,12 @@ from retailgrain.plans import (
     reconcile,
     weekly_metrics,
     weekly_report,
+    weekly_table,
     yoy_sections,
 )
 from retailgrain.operators.windows import order_weight
 from retailgrain.plans.stock_recon import MatchLabels
-from retailgrain.rules import MetricRule, ShopRule, barcode_table
+from retailgrain.rules import MetricRule, ShopRule, barcode_table, rule_table
 from retailgrain.rules import fixed_values as fixed
 
 HEADER = (
@@ -140,6 +141,23 @@ def test_cube_cells(spark):
     assert (pair.city, pair.mean_price, pair.line_count, pair.order_weight, pair.line_total) == ("Kaunas", 40.0, 2, 0.5, 80.0)
 
 
+def test_cube_takes_rules_as_a_table(spark):
+    headers = [header(1, MONDAY, street="Kaunas"), header(2, MONDAY, street="Nida")]
+    lines = make_lines(spark, headers, one_line_each(headers), MONDAY, END)
+    listed, tabled = (
+        order_cube(lines, rules, fixed.price_buckets(), fixed.QUANTITY_BUCKETS)
+        for rules in (fixed.city_rules(), rule_table(spark, fixed.city_rules()))
+    )
+    assert sorted(r.city for r in listed.collect()) == sorted(r.city for r in tabled.collect()) == ["Kaunas", "Nida"]
+
+
+def test_weekly_table(spark):
+    headers = [header(1, MONDAY), header(2, dt.date(2021, 1, 4)), header(3, dt.date(2021, 1, 5), "canceled")]
+    metrics = weekly_metrics(make_lines(spark, headers, one_line_each(headers), MONDAY, END), fixed.metric_rules())
+    table = weekly_table(metrics, ["Gauta užsakymų", "Atšauktų"]).collect()
+    assert [(r.iso_week, r["Gauta užsakymų"], r["Atšauktų"]) for r in table] == [(53, 1, 0), (1, 2, 1)]
+
+
 # ---- stock --------------------------------------------------------------------------------------
 
 LABELS = MatchLabels("both", "theirs", "ours")

@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 from retailgrain.checks import CHECKS
 from retailgrain.operators.joins import densify, full_outer_match
 from retailgrain.operators.projections import tag_first_substring
-from retailgrain.operators.rule_joins import shop_pairs_by_join, tag_first_substring_by_join
+from retailgrain.operators.rule_joins import shop_pairs_by_join, substring_pairs, tag_by_rules, tag_first_substring_by_join
 from retailgrain.operators.skew import attach_group_total, chunk_copies, collapse_copies, expand_copies
 from retailgrain.functions.matching import normalized
 from retailgrain.rules import CityRule, ShopRule, read_rules, rule_table
@@ -74,6 +74,14 @@ def test_rule_table_equals_inlined_rules(spark, strategy):
     assert rows_of(inlined) == rows_of(joined.select("i", "a", "city"))
 
 
+def test_short_rule_tables_are_inlined(spark):
+    tagged = tag_by_rules(addresses(spark), "a", "city", rule_table(spark, fixed.city_rules()))
+    assert "Join" not in plan(tagged)
+    many = [*fixed.city_rules(), *[CityRule(1000 + i, f"no such place {i}", "x") for i in range(600)]]
+    joined = tag_by_rules(addresses(spark), "a", "city", rule_table(spark, many))
+    assert "Join" in plan(joined) and rows_of(joined.select("i", "a", "city")) == rows_of(tagged)
+
+
 def test_shop_pairs_against_brute_force(spark):
     texts = ["Basanavičiaus g. 6, Jonava", "basanavičiaus g. 6, Kaunas", "algirdo g. 1a, jurbarkas - pc maxima .", "Vytauto g. 17B Prienai ", None]
     df = spark.createDataFrame([(t,) for t in texts], "a string")
@@ -87,6 +95,17 @@ def test_shop_pairs_against_brute_force(spark):
     assert set(map(tuple, shop_pairs_by_join(df, "a", rule_table(spark, rules)).collect())) == want
 
 
+def test_patterns_of_all_lengths_against_brute_force(spark):
+    letters = "abcabdabeabfacgahiabjkabcdefghijklmnopqrstuvwxyz"
+    patterns = sorted({letters[i : i + n] for n in (1, 2, 3, 5, 8, 9, 17, 31, 33, 40) for i in (0, 3, 7)})
+    texts = [letters, letters[5:], letters[:20], "xyz", "a", "", letters[3:40] * 2]
+    rules = spark.createDataFrame(list(enumerate(patterns)), "n int, p string")
+    got = substring_pairs(spark.createDataFrame([(t,) for t in texts], "subject string"), rules, "p")
+    want = {(t, n) for t in texts for n, p in enumerate(patterns) if p in t}
+    rows = [(r.subject, r.n) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+
+
 def test_empty_pattern_is_refused(spark):
     with pytest.raises(ValueError):
         tag_first_substring_by_join(addresses(spark), "a", "c", rule_table(spark, [CityRule(0, " ", "x")]), "-")

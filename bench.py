@@ -18,23 +18,24 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from retailgrain import build_session  # noqa: E402
 from retailgrain.checks import CHECKS  # noqa: E402
 
+# Light queries first, so that the reports find a warm JVM.
 HEADLINES = (
-    "report_weekly_orders",
-    "report_order_cube",
-    "report_yoy_sales",
-    "report_stock_recon",
-    "agg_group_count",
-    "agg_group_sum_fact",
-    "agg_scopes",
-    "win_order_weight",
-    "win_share_of_total",
+    "filter_date_range",
     "join_inner_equi",
-    "join_full_outer",
     "join_first_substring",
-    "join_rule_theta",
-    "filter_date_range",
+    "join_full_outer",
     "content_fingerprint",
     "clean_text",
+    "agg_group_sum_fact",
+    "agg_scopes",
+    "win_share_of_total",
+    "agg_group_count",
+    "join_rule_theta",
+    "win_order_weight",
+    "report_weekly_orders",
+    "report_order_cube",
+    "report_yoy_sales",
+    "report_stock_recon",
     "sink_replace",
     "src_file_intake",
     "stream_weekly_orders",

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +24,30 @@ BATCH_CONF = {
 CLEAN_CONF = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, with the batch limits set that all Python steps rely on."""
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Set the batch limits that all Python steps rely on; give the workers this library's modules.
+
+    The modules travel as a zip, once per application, as with ``--py-files``.
+    """
     for key, value in BATCH_CONF.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        target = os.path.join(tempfile.mkdtemp(prefix="retailgrain-py-"), "retailgrain.zip")
+        with zipfile.ZipFile(target, "w") as archive:
+            for file in package.rglob("*.py"):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(target)
+        _shipped.add(context.applicationId)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -48,8 +72,7 @@ class Steps:
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.root = shared_dir(spark, purpose)
-        for key, value in BATCH_CONF.items():
-            spark.conf.set(key, value)
+        prepare(spark)
 
     def save(self, name: str, df: DataFrame) -> DataFrame:
         with settings(self.spark, CLEAN_CONF):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm import mixing, sharding
+from retailgrain.llm import mixing, packing, sharding, toxicity
 from retailgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,16 @@ def op10_weighted_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_naive_bayes_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(spark, docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query
+def op4_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"))

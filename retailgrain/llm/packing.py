@@ -241,5 +241,5 @@ def pack(
                 ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    known = cut.join(starts, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("local")).alias("rank"))
+    known = cut.join(starts.hint("merge"), ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.col("local")).alias("rank"))
     return known.mapInArrow(place, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm import jaccard, mixing, packing, sharding, toxicity
+from retailgrain.llm import jaccard, lines, mixing, packing, sharding, toxicity
 from retailgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,9 @@ def op4_configuration_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(spark, docs)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm import ann, jaccard, lines, mixing, packing, sharding, toxicity
+from retailgrain.llm import ann, covertree, jaccard, lines, mixing, packing, sharding, toxicity
 from retailgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_adaptive_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.search(spark, rows, rows.where("vec_id % 20 = 0"))
+
+
+@query
+def op6_cover_tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.dedup(spark, table(spark, sf_dir, "embeddings"))

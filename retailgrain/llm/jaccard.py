@@ -151,29 +151,29 @@ def join(
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     classes = frequency_classes(docs.select("text"), words)
     signed_docs = steps.save("signatures", signatures(docs, words, percent, classes))
-    rows = signed_docs.drop("prefix")
-    alive = signed_docs.where("doc_id is not null and n > 0")
+    head = F.when(F.col("n") > 0, F.col("prefix")[0]).alias("head")
+    rows = steps.save("rows", signed_docs.select("doc_id", "n", "fp1", "fp2", "gkey", head))
+    alive = rows.where("doc_id is not null and n > 0")
     # Equal sets are one class, known by its smallest id, and classes of one size and prefix one group.
-    sets_ = alive.groupBy("fp1", "fp2", "n", "gkey").agg(F.min("doc_id").alias("m"), F.first("prefix").alias("prefix"))
-    sets_ = steps.save("classes", sets_)
-    grouped = sets_.groupBy("gkey", "n", F.col("prefix")[0].alias("head")).agg(F.min("m").alias("g"), F.first("prefix").alias("prefix"))
-    grouped = steps.save("groups", grouped)
-    members = steps.save(
-        "members",
-        sets_.select("gkey", "n", F.col("prefix")[0].alias("head"), "m").join(grouped.drop("prefix"), ["gkey", "n", "head"]).select("g", "m").distinct(),
-    )
-    postings = grouped.select("g", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
+    classes_ = steps.save("classes", alive.groupBy("fp1", "fp2", "n", "gkey", "head").agg(F.min("doc_id").alias("m")))
+    grouped = classes_.groupBy("gkey", "n", "head").agg(F.min("m").alias("g"))
+    members = steps.save("members", classes_.join(grouped, ["gkey", "n", "head"]).select("g", "m").distinct())
+    heads = signed_docs.where("n > 0").withColumn("head", head).join(grouped.withColumnRenamed("g", "doc_id"), ["gkey", "n", "head", "doc_id"])
+    postings = heads.select(F.col("doc_id").alias("g"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
-    shared = shared_postings(steps, postings, band, ["n", "g"], ["n", "pos"])
 
     def admissible(a, b) -> Column:
         both = (a("n") + b("n")) * percent
         left = F.least(a("n") - a("pos"), b("n") - b("pos"))  # tokens from the shared one on
         return (F.least(a("n"), b("n")) * 100 >= F.greatest(a("n"), b("n")) * percent) & (left * (100 + percent) >= both)
 
+    shared = shared_postings(steps, postings, band, ["n", "g"], ["n", "pos"], admissible)
+    steps.drop("signatures")
     several = members.groupBy("g").agg(F.count("*").alias("k")).where("k > 1").select("g")
     wanted = shared.select("g").union(several).distinct().join(members, "g").select(F.col("m").alias("doc_id")).distinct()
-    tokens = steps.save("tokens", whole_sets(docs.join(wanted, "doc_id", "left_semi"), words).distinct())
+    tokens = whole_sets(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), words)
+    once = alive.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").isEmpty()
+    tokens = steps.save("tokens", tokens if once else tokens.distinct())  # only a repeated id can bring a set twice
 
     def verify(_: str, pairs: DataFrame) -> DataFrame:
         a = tokens.select(F.col("m").alias("a"), F.col("tokens").alias("ta"))
@@ -182,10 +182,11 @@ def join(
 
     found = connected(steps, shared, members, ["n", "pos"], admissible, verify)
     # An id with several texts belongs to several classes and joins them.
-    of_class = sets_.select("fp1", "fp2", "n", "m")
+    of_class = classes_.select("fp1", "fp2", "n", "m")
     known = rows.where("doc_id is not null and n > 0").join(of_class, ["fp1", "fp2", "n"])
     joined = known.groupBy("doc_id").agg(F.min("m").alias("a"), F.max("m").alias("b")).where("a <> b")
-    if not (joined := steps.save("joined", joined)).isEmpty():
+    steps.drop("tokens", "shared")
+    if not once and not joined.isEmpty():
         every = known.select(F.col("doc_id").alias("a"), F.col("m").alias("b")).where("a <> b")
         found = components(steps, found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(every), "ids")
     at = of_class.join(found.withColumnRenamed("node", "m"), "m", "left").select("fp1", "fp2", "n", F.coalesce("component", "m").alias("component_id"))

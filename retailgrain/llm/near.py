@@ -28,18 +28,21 @@ from retailgrain.llm.common import Steps, components
 Admissible = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 
 
-def shared_postings(steps: Steps, postings: DataFrame, band: Column, order: list[str], carried: list[str]) -> DataFrame:
-    """Postings whose key has several groups, each with the previous and its band's first posting."""
+def shared_postings(steps: Steps, postings: DataFrame, band: Column, order: list[str], carried: list[str], admissible: Admissible) -> DataFrame:
+    """Postings whose key has several groups, with the previous group and the first of its band if they may match."""
     row = F.struct("g", *carried)
     by_key = W.partitionBy("key").orderBy("_band", *order)
     by_band = W.partitionBy("key", "_band").orderBy(*order)
     near = postings.withColumn("_band", band).select(
-        "key", "g", *carried,
-        F.lag(row).over(by_key).alias("previous"),
-        F.lead("g").over(by_key).isNotNull().alias("_more"),
-        F.first(row).over(by_band).alias("leader"),
+        "key", "g", *carried, F.lag(row).over(by_key).alias("_previous"), F.lead("g").over(by_key).isNotNull().alias("_more"), F.first(row).over(by_band).alias("_first")
     )
-    return steps.save("shared", near.where("previous is not null or _more").drop("_more"))
+
+    def partner(name: str) -> Column:
+        there = lambda c: F.col(f"{name}.{c}")
+        return F.when((there("g") != F.col("g")) & admissible(F.col, there), there("g"))
+
+    near = near.where("_previous is not null or _more")
+    return steps.save("shared", near.select("key", "g", *carried, partner("_previous").alias("previous"), partner("_first").alias("leader")))
 
 
 def connected(
@@ -51,12 +54,7 @@ def connected(
     verify: Callable[[str, DataFrame], DataFrame],
 ) -> DataFrame:
     """(node, component) for all nodes with a link. ``members``: (g, m); ``verify``: of pairs (a, b), those that link."""
-    own = lambda c: F.col(c)
-    met = []
-    for partner in ("leader", "previous"):
-        there = lambda c, p=partner: F.col(f"{p}.{c}")
-        rows = shared.where(F.col(partner).isNotNull() & (there("g") != F.col("g")) & admissible(own, there))
-        met.append(rows.select("g", there("g").alias("other")))
+    met = [shared.where(F.col(partner).isNotNull()).select("g", F.col(partner).alias("other")) for partner in ("leader", "previous")]
     best = (
         met[0].union(met[1]).groupBy("g", "other").agg(F.count("*").alias("n"))
         .groupBy("g").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
@@ -68,15 +66,17 @@ def connected(
     inside = members.join(heads.where("size > 1").select("g", "head"), "g").where("m <> head").select(F.col("head").alias("a"), F.col("m").alias("b"))
     pairs = stars.union(inside).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = steps.save("links0", verify("links0", pairs))
-    turn, useful = 0, True
+    turn, useful, open_rows = 0, True, shared
     while True:
         turn += 1
-        known, groups, open_rows = _open(steps, turn, shared, members, carried, components(steps, links, f"turn{turn}"))
+        # A key with one component keeps one, so each turn starts from the keys the last one left open.
+        known, groups, open_rows = _open(steps, turn, open_rows, members, carried, components(steps, links, f"turn{turn}"))
+        steps.drop(f"open{turn - 1}", f"known{turn - 1}")
         if not useful:
             break
         there = lambda c: F.col(f"pick.{c}")
         tries = (
-            open_rows.where(~F.col("in_main") & admissible(own, there)).groupBy("g", there("g").alias("other")).agg(F.count("*").alias("n"))
+            open_rows.where(~F.col("in_main") & admissible(F.col, there)).groupBy("g", there("g").alias("other")).agg(F.count("*").alias("n"))
             .groupBy("g").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
         )
         pairs = tries.join(a, "g").join(b, "other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -122,4 +122,6 @@ def _open(steps: Steps, turn: int, shared: DataFrame, members: DataFrame, carrie
         .where("parts > 1").select("key", F.col("top.part").alias("main"), F.col("top.pick").alias("pick"))
     )
     open_rows = here.join(keys, "key").withColumn("in_main", F.col("part").eqNullSafe(F.col("main"))).drop("main")
-    return known, groups, steps.save(f"open{turn}", open_rows)
+    open_rows = steps.save(f"open{turn}", open_rows)
+    steps.drop(f"parts{turn}")
+    return known, groups, open_rows

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm import ann, covertree, jaccard, kneser, lines, mixing, packing, sharding, toxicity
+from retailgrain.llm import ann, covertree, htmltext, jaccard, kneser, lines, mixing, packing, sharding, toxicity
 from retailgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,8 @@ def op6_cover_tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.perplexities(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))

@@ -91,12 +91,12 @@ def _section(name: str, where: str, key: str = "NULL", subkey: str = "NULL", sou
 
 _SHOPS = "region IN ('AFRICA', 'AMERICA', 'ASIA')"
 SECTIONS_SQL = f"""{s.FACT_SQL},
-main AS (SELECT region, channel, {s.sums_sql()} FROM fact
+main AS MATERIALIZED (SELECT region, channel, {s.sums_sql()} FROM fact
   WHERE month = 6 AND company = 'A' AND region IS NOT NULL AND channel IS NOT NULL GROUP BY 1, 2),
 by_shop AS (SELECT {CITY_GROUP_SQL} AS city_group, {s.sums_sql()} FROM fact
   WHERE month = 6 AND {_SHOPS} AND shop_name IS NOT NULL GROUP BY 1),
 shop_channels AS (SELECT channel, {", ".join(f"CASE WHEN {_SHOPS} THEN {m} END AS {m}" for m in s.SUMS)} FROM main),
-sections AS (
+sections AS MATERIALIZED (
 {_section("region_channel", "true", "region", "channel", "main")} UNION ALL
 {_section("shops_in_month", _SHOPS, source="main")} UNION ALL
 {_section("shops_to_date", _SHOPS + " AND channel IS NOT NULL")} UNION ALL
@@ -126,17 +126,26 @@ tagged AS (SELECT *, CAST(weekofyear(order_date) AS BIGINT) AS iso_week,
   strftime(week_start, '%m-%d') || ' iki ' || strftime(week_start + INTERVAL 6 DAY, '%m-%d') AS week_label,
   {CITY_SQL} AS city, {PRICE_CASE.format(x='price')} AS price_bucket, {QUANTITY_CASE.format(x='line_count')} AS quantity_bucket FROM lines),
 cube_cells AS (SELECT week_start, iso_week, week_label, channel, order_status, city, delivery, product, price_bucket, quantity_bucket,
-  sum(CAST(round(price * 100) AS BIGINT)) AS price_cents, count(*) AS n, sum(line_count) AS line_count,
-  sum(order_weight) AS order_weight, sum(CAST(round(line_total * 100) AS BIGINT)) AS total_cents
+  sum(CAST(price AS DECIMAL(28,6))) AS price_sum, count(*) AS n, sum(line_count) AS line_count,
+  sum(order_weight) AS order_weight, sum(CAST(line_total AS DECIMAL(28,6))) AS total_sum
   FROM tagged WHERE order_status IS NOT NULL AND delivery IS NOT NULL AND product IS NOT NULL AND price_bucket IS NOT NULL
   GROUP BY ALL)"""
 
 
+CUBE_TABLE_SQL = f"""
+WITH {CUBE_SQL}
+SELECT iso_week AS "Savaite", week_label AS "Savaites_xx_xx", channel AS "Eshop", order_status AS "Uzsakymo_busena",
+  city AS "Miestas", delivery AS "Atsiemimas", product AS "Preke", price_bucket AS "PriceBucket",
+  quantity_bucket AS "QuantityBucket", price_sum::DOUBLE / n AS "Galutine_kaina",
+  CAST(line_count AS DOUBLE) AS "Kiekis_uzsakymu", floor(order_weight * 1e6 + 0.5) / 1e6 AS "Apsipirkimu_kiekis",
+  total_sum::DOUBLE AS "Bendra_suma" FROM cube_cells"""
+
+
 @check("agg_cube_rollup", f"""
 WITH {CUBE_SQL}
 SELECT CAST(week_start AS VARCHAR) AS week_start, iso_week, week_label, channel, order_status, city, delivery, product,
-  price_bucket, quantity_bucket, price_cents::DOUBLE / n / 100.0 AS mean_price, CAST(line_count AS BIGINT) AS line_count,
-  floor(order_weight * 1e6 + 0.5) / 1e6 AS order_weight, total_cents::DOUBLE / 100.0 AS line_total FROM cube_cells""")
+  price_bucket, quantity_bucket, price_sum::DOUBLE / n AS mean_price, CAST(line_count AS BIGINT) AS line_count,
+  floor(order_weight * 1e6 + 0.5) / 1e6 AS order_weight, total_sum::DOUBLE AS line_total FROM cube_cells""")
 def agg_cube_rollup(spark, sf):
     cube = order_cube(s.lines(spark, sf), s.CITY_RULES, price_buckets(), QUANTITY_BUCKETS, s.OTHER_CITY)
     return cube.withColumns({
@@ -241,12 +250,12 @@ SELECT CAST(week_start AS VARCHAR) AS week_start, count(DISTINCT order_no) AS or
   count(DISTINCT CASE WHEN order_status = 'canceled' THEN order_no END) AS canceled,
   count(DISTINCT CASE WHEN is_weekend THEN order_no END) AS weekend_orders FROM kept GROUP BY 1""")
 def agg_week_distinct(spark, sf):
-    rules = metric_rules()[:2]
+    rules = metric_rules()
     weekly = weekly_metrics(s.lines(spark, sf), rules, counting="distinct")
-    week, total = F.col("period_kind") == "week", F.col("metric") == rules[0].metric
+    week, total, canceled = F.col("period_kind") == "week", F.col("metric") == rules[0].metric, F.col("metric") == rules[1].metric
     return weekly.groupBy(F.col("week_start").cast("string").alias("week_start")).agg(
         F.sum(F.when(week & total, F.col("value"))).alias("orders"),
-        F.sum(F.when(week & ~total, F.col("value"))).alias("canceled"),
+        F.sum(F.when(week & canceled, F.col("value"))).alias("canceled"),
         F.sum(F.when(~week & total, F.col("value"))).alias("weekend_orders"),
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from retailgrain.checks import standins as s
-from retailgrain.checks.aggregates import CUBE_SQL, LABELS, RECON_SQL, SECTIONS_SQL, SUMMARY_SQL, WEEKLY_SQL, recon
+from retailgrain.checks.aggregates import CUBE_TABLE_SQL, LABELS, RECON_SQL, SECTIONS_SQL, SUMMARY_SQL, WEEKLY_SQL, recon
 from retailgrain.checks.registry import check
 from retailgrain.checks.windows import CHANGE_SQL, PCT_CHANGE_SQL
 from retailgrain.operators.yoy import CONVERSIONS, BASKETS, DERIVED_METRICS, RATIO_METRICS, SUM_METRICS
@@ -56,13 +56,7 @@ def report_weekly_shops(spark, sf):
     return weekly.withColumn("week_start", F.col("week_start").cast("string"))
 
 
-@check("report_order_cube", f"""
-WITH {CUBE_SQL}
-SELECT iso_week AS "Savaite", week_label AS "Savaites_xx_xx", channel AS "Eshop", order_status AS "Uzsakymo_busena",
-  city AS "Miestas", delivery AS "Atsiemimas", product AS "Preke", price_bucket AS "PriceBucket",
-  quantity_bucket AS "QuantityBucket", price_cents::DOUBLE / n / 100.0 AS "Galutine_kaina",
-  CAST(line_count AS DOUBLE) AS "Kiekis_uzsakymu", floor(order_weight * 1e6 + 0.5) / 1e6 AS "Apsipirkimu_kiekis",
-  total_cents::DOUBLE / 100.0 AS "Bendra_suma" FROM cube_cells""")
+@check("report_order_cube", CUBE_TABLE_SQL)
 def report_order_cube(spark, sf):
     cube = order_cube(s.lines(spark, sf), s.CITY_RULES, price_buckets(), QUANTITY_BUCKETS, s.OTHER_CITY)
     out = to_cube_table(cube)
@@ -80,7 +74,7 @@ _DIFFS = ", ".join(
 _ALL = [*SUM_METRICS, *DERIVED_METRICS, *[f"{m}_total_pct" for m in SUM_METRICS], *[f"{m}_vs_total" for m in RATIO_METRICS]]
 BUNDLE_SQL = f"""
 WITH {SECTIONS_SQL},
-derived AS ({s.derived_sql("sections", "section, key, subkey")}),
+derived AS MATERIALIZED ({s.derived_sql("sections", "section, key, subkey")}),
 complete AS (SELECT d.*, {_SHARES}, {_DIFFS} FROM derived d, (SELECT * FROM derived WHERE section = 'shops_in_month') t),
 long AS (UNPIVOT complete ON {", ".join(_ALL)} INTO NAME metric VALUE value)
 SELECT section, key, subkey, metric, value FROM long

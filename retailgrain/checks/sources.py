@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F, types as T
 
 from retailgrain import sources
 from retailgrain.checks import standins as s
-from retailgrain.checks.aggregates import CUBE_SQL, RECON_SQL, recon
+from retailgrain.checks.aggregates import CUBE_TABLE_SQL, RECON_SQL, recon
 from retailgrain.checks.registry import check
 from retailgrain.functions.dates import report_window
 from retailgrain.plans.order_cube import order_cube, to_cube_table
@@ -50,8 +49,11 @@ def src_snapshot(spark, sf):
 
 def _stock_folder(spark, sf) -> str:
     folder = shared_dir(spark, "stock-files")
-    padded = s.supplier_stock(spark, sf).toDF(" barcode", "quantity ", " brand ")
-    sources.write_csv(padded, folder)
+    stock = s.supplier_stock(spark, sf)
+    odd = F.crc32(F.coalesce(F.col("barcode").cast("string"), F.lit(""))) % 2 == 1
+    # Two layouts in one folder: padded headers, and other columns first.
+    for part, columns in ((stock.where(odd).toDF(" barcode", "quantity ", " brand "), None), (stock.where(~odd), ("brand", "quantity", "barcode"))):
+        (part if columns is None else part.select(*columns)).write.mode("append").option("header", True).csv(folder)
     return folder
 
 
@@ -88,14 +90,9 @@ def src_rules(spark, sf):
     return joined.groupBy("metric", "status").agg(F.count(F.lit(1)).alias("orders"))
 
 
-_CUBE_TABLE_SQL = f"""
-WITH {CUBE_SQL}
-SELECT "Savaite", "Eshop", "Miestas", count(*) AS cells, CAST(sum("Kiekis_uzsakymu") AS BIGINT) AS lines FROM (
-  SELECT iso_week AS "Savaite", channel AS "Eshop", city AS "Miestas", line_count AS "Kiekis_uzsakymu" FROM cube_cells) GROUP BY 1, 2, 3"""
-
-
-def _new_table(spark, schema: T.StructType) -> str:
-    name = f"rg_{uuid.uuid4().hex}"
+def _new_table(spark, schema: T.StructType, name: str) -> str:
+    """One name for each query, so that runs do not pile up tables."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     sources.create_table(spark, name, schema, shared_dir(spark, "table"))
     return name
 
@@ -108,7 +105,8 @@ def _cube(spark, sf):
 def sink_create_table(spark, sf):
     part = s.table(spark, sf, "part").select("p_partkey", "p_name", "p_size")
     location = shared_dir(spark, "table")
-    name = f"rg_{uuid.uuid4().hex}"
+    name = "rg_sink_create_table"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     sources.create_table(spark, name, part.schema, location)
     sources.append_rows(part, name)
     sources.create_table(spark, name, part.schema, location)  # exists: nothing happens
@@ -118,7 +116,7 @@ def sink_create_table(spark, sf):
 @check("sink_append", """
 SELECT s_suppkey AS id, s_name AS name FROM supplier UNION ALL SELECT c_custkey, c_name FROM customer""")
 def sink_append(spark, sf):
-    name = _new_table(spark, T.StructType.fromDDL("id bigint, name string"))
+    name = _new_table(spark, T.StructType.fromDDL("id bigint, name string"), "rg_sink_append")
     supplier, customer = s.table(spark, sf, "supplier"), s.table(spark, sf, "customer")
     sources.append_rows(supplier.select(F.col("s_name").alias("name"), F.col("s_suppkey").alias("id")), name)
     sources.append_rows(customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name")), name)
@@ -129,31 +127,29 @@ def sink_append(spark, sf):
 def sink_delete_matching(spark, sf):
     orders = s.table(spark, sf, "orders")
     rows = orders.select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"))
-    name = _new_table(spark, rows.schema)
+    name = _new_table(spark, rows.schema, "rg_sink_delete_matching")
     sources.append_rows(rows, name)
     sources.delete_not_null(spark, name, "status", shared_dir(spark, "table"))
     return spark.table(name)
 
 
-@check("sink_replace", _CUBE_TABLE_SQL)
+@check("sink_replace", CUBE_TABLE_SQL)
 def sink_replace(spark, sf):
-    name = _new_table(spark, cube_schema())
+    name = _new_table(spark, cube_schema(), "rg_sink_replace")
     empty = {f.name: F.lit(None).cast(f.dataType) for f in cube_schema()}
     part = s.table(spark, sf, "part").select(*[
         (F.col("p_name") if c == "Preke" else value).alias(c) for c, value in empty.items()
     ])
     sources.append_rows(part, name)
     sources.replace_rows(_cube(spark, sf), name)  # nothing of the first load stays
-    return spark.table(name).groupBy("Savaite", "Eshop", "Miestas").agg(
-        F.count(F.lit(1)).alias("cells"), F.sum("Kiekis_uzsakymu").cast("bigint").alias("lines")
-    )
+    return spark.table(name).withColumn("Apsipirkimu_kiekis", s.micro(F.col("Apsipirkimu_kiekis")))
 
 
 @check("sink_csv", f"WITH {s.HEADERS_SQL} SELECT id, order_no, payment_status, country FROM headers")
 def sink_csv(spark, sf):
     path = shared_dir(spark, "csv")
     rows = s.headers(spark, sf).select("id", "order_no", "payment_status", "street", "country")
-    sources.write_csv(rows, path)
+    sources.write_csv(rows, path, drop=sources.PERSONAL_COLUMNS)
     return spark.read.option("header", True).schema("id bigint, order_no string, payment_status string, country string").csv(path)
 
 

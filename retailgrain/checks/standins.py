@@ -254,11 +254,11 @@ SUMS = [f"{y}_{m}" for m in ("stotal", "people_in", "checkout") for y in _YEARS]
 def _rounded_sum(metric: str) -> str:
     if metric.endswith("checkout"):
         return f"CAST(sum({metric}) AS BIGINT) AS {metric}"
-    return f"CAST(round(sum(CAST(round({metric} * 100) AS BIGINT)) / 100.0, 0) AS BIGINT) AS {metric}"
+    return f"CAST(round(sum(CAST({metric} AS DECIMAL(28,6))), 0) AS BIGINT) AS {metric}"
 
 
 FACT_SQL = f"""{FACTS_SQL},
-fact AS (
+fact AS MATERIALIZED (
   SELECT month, region, company, channel, shop_name, {", ".join(_rounded_sum(m) for m in SUMS)}
   FROM wide GROUP BY month, region, company, channel, shop_name)"""
 

@@ -23,11 +23,11 @@ def src_file_intake(spark, sf):
 
 @check("stream_weekly_orders", """
 SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start, event_type, count(*) AS row_count,
-  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents FROM events GROUP BY 1, 2""")
+  CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS value_sum FROM events GROUP BY 1, 2""")
 def stream_weekly_orders(spark, sf):
     schema = s.table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     counts = weekly_counts_stream(
         spark, stream, "ts", ["event_type"], "value", shared_dir(spark, "weekly"), shared_dir(spark, "weekly-checkpoint")
     )
-    return counts.withColumn("week_start", F.col("week_start").cast("string"))
+    return counts.withColumns({"week_start": F.col("week_start").cast("string"), "value_sum": F.col("value_sum").cast("double")})

@@ -81,6 +81,7 @@ e AS (SELECT date_trunc('week', o_orderdate) AS week_start, count(*) AS orders F
 SELECT strftime(week_start, '%Y-%m-%d') AS week_start, w.orders AS orders, coalesce(e.orders, 0) AS weekend_orders
 FROM w LEFT JOIN e USING (week_start)""")
 def win_pair_week_weekend(spark, sf):
+    # Urgent orders only, so that some weeks have no weekend row and must get a zero.
     day = F.col("o_orderdate")
     orders = s.table(spark, sf, "orders").withColumns({"week_start": week_start(day), "is_weekend": weekend_flag(day)})
     counted = F.count(F.lit(1)).alias("orders")
@@ -110,12 +111,11 @@ def sort_order_date(spark, sf):
 
 
 @check("sort_week", f"""
-WITH {WEEKLY_SQL} SELECT CAST(week_start AS VARCHAR) AS week_start, period_kind, value FROM weekly
-WHERE metric = 'Gauta užsakymų' ORDER BY weekly.week_start, period_kind""")
+WITH {WEEKLY_SQL} SELECT CAST(week_start AS VARCHAR) AS week_start, period_kind, metric, value FROM weekly
+ORDER BY weekly.week_start, period_kind, metric""")
 def sort_week(spark, sf):
-    rules = metric_rules()[:1]
-    weekly = weekly_metrics(s.lines(spark, sf), rules).orderBy("week_start", "period_kind")
-    return weekly.select(F.col("week_start").cast("string").alias("week_start"), "period_kind", "value")
+    weekly = weekly_metrics(s.lines(spark, sf), metric_rules(), s.SHOP_RULES).orderBy("week_start", "period_kind", "metric")
+    return weekly.select(F.col("week_start").cast("string").alias("week_start"), "period_kind", "metric", "value")
 
 
 @check("sort_abs_diff", f"WITH {RECON_SQL} SELECT barcode, own_barcode, diff FROM recon ORDER BY abs(diff) DESC, barcode")
@@ -137,33 +137,34 @@ def set_union_all(spark, sf):
     return reshape.append_all([orders, parts, suppliers])
 
 
-@check("reshape_transpose", """
-SELECT metric, v1998 AS y1998, v1999 AS y1999, v2000 AS y2000 FROM (
-  SELECT 'orders' AS metric, count(*) FILTER (year(o_orderdate) = 1998) AS v1998,
-    count(*) FILTER (year(o_orderdate) = 1999) AS v1999, count(*) FILTER (year(o_orderdate) = 2000) AS v2000 FROM orders
-  UNION ALL
-  SELECT 'customers', count(DISTINCT o_custkey) FILTER (year(o_orderdate) = 1998),
-    count(DISTINCT o_custkey) FILTER (year(o_orderdate) = 1999), count(DISTINCT o_custkey) FILTER (year(o_orderdate) = 2000) FROM orders)""")
+_YEARS = range(1995, 2002)  # all years of the table
+
+
+def _per_year(metric: str, count: str) -> str:
+    columns = ", ".join(f"count({count}) FILTER (year(o_orderdate) = {y}) AS y{y}" for y in _YEARS)
+    return f"SELECT '{metric}' AS metric, {columns} FROM orders"
+
+
+@check("reshape_transpose", f"{_per_year('orders', '*')} UNION ALL {_per_year('customers', 'DISTINCT o_custkey')}")
 def reshape_transpose(spark, sf):
     per_year = s.table(spark, sf, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
         F.count(F.lit(1)).alias("orders"), F.count_distinct("o_custkey").alias("customers")
     )
     rows = reshape.metrics_to_rows(per_year, ["year"], ["orders", "customers"])
-    wide = reshape.periods_to_columns(rows, "metric", "year", [1998, 1999, 2000])
-    return wide.toDF("metric", "y1998", "y1999", "y2000")
+    wide = reshape.periods_to_columns(rows, "metric", "year", list(_YEARS))
+    return wide.toDF("metric", *[f"y{y}" for y in _YEARS])
 
 
 @check("reshape_keyed_map", """
-SELECT 'F:' || f || ' O:' || o || ' P:' || p AS orders_by_status FROM (
-  SELECT count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o,
-    count(*) FILTER (o_orderstatus = 'P') AS p FROM orders)""")
+SELECT o_orderpriority AS priority, string_agg(o_orderstatus || ':' || n, ' ' ORDER BY o_orderstatus) AS orders_by_status FROM (
+  SELECT o_orderpriority, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2) GROUP BY 1""")
 def reshape_keyed_map(spark, sf):
-    counts = s.table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
-    mapped = reshape.keyed_map(counts, "o_orderstatus", ["orders"])
+    counts = s.table(spark, sf, "orders").groupBy("o_orderpriority", "o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+    mapped = reshape.keyed_map(counts, "o_orderstatus", ["orders"], ["o_orderpriority"])
     pairs = F.transform(
         F.map_entries("orders"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))
     )
-    return mapped.select(F.array_join(pairs, " ").alias("orders_by_status"))
+    return mapped.select(F.col("o_orderpriority").alias("priority"), F.array_join(pairs, " ").alias("orders_by_status"))
 
 
 @check("reshape_records", """

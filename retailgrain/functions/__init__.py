@@ -8,7 +8,7 @@ from retailgrain.functions.dates import (
 )
 from retailgrain.functions.matching import bucket, city_group, first_substring, metric_condition, shop_condition
 from retailgrain.functions.numbers import (
-    exact_cents,
+    exact_amount,
     half_even_int,
     null_default,
     safe_ratio,
@@ -30,7 +30,7 @@ __all__ = [
     "bucket",
     "city_group",
     "clean_text",
-    "exact_cents",
+    "exact_amount",
     "first_substring",
     "fix_address_spacing",
     "half_even_int",

@@ -18,9 +18,9 @@ def normalized(text: str) -> str:
 
 def _ordered(rules: Sequence[CityRule], strategy: str) -> list[CityRule]:
     if strategy == "first":
-        return sorted(rules, key=lambda r: r.ordinal)
+        return sorted(rules, key=lambda r: (r.ordinal, r.city))
     if strategy == "longest":
-        return sorted(rules, key=lambda r: (-len(normalized(r.pattern)), r.ordinal))
+        return sorted(rules, key=lambda r: (-len(normalized(r.pattern)), r.ordinal, r.city))
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -35,12 +35,13 @@ def first_substring(
 
     ``first`` takes the lowest ordinal, ``longest`` the longest pattern. A chain
     of generated substring tests stops at the first hit; pass a text that is
-    already normalized to keep the lowering out of the branches.
+    already normalized to keep the lowering out of the branches. Equal ranks go by city;
+    an empty pattern occurs in every text, a missing one in none.
     """
     subject = text if is_normalized else str_normalize(text)
     out = None
     tried: list[str] = []
-    for rule in _ordered(rules, strategy):
+    for rule in _ordered([r for r in rules if r.pattern is not None], strategy):
         pattern = normalized(rule.pattern)
         # A pattern that contains an earlier one can never be the first match.
         if any(earlier in pattern for earlier in tried):

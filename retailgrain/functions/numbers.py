@@ -36,6 +36,6 @@ def sum_or_zero(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
-def exact_cents(value: Column) -> Column:
-    """Money as whole cents: bigint sums are exact, fast and independent of row order."""
-    return F.round(value * 100).cast("bigint")
+def exact_amount(value: Column) -> Column:
+    """Money as a decimal: sums are exact and independent of row order, and are rounded once, at the end."""
+    return value.try_cast("decimal(28,6)")

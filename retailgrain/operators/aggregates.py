@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retailgrain.functions.numbers import exact_cents, sum_or_zero
+from retailgrain.functions.numbers import exact_amount, sum_or_zero
 from retailgrain.operators.filters import drop_null_keys
 
 
@@ -23,9 +23,9 @@ def group_count(df: DataFrame, keys: Sequence[str], counted: str, out: str = "li
     return df.groupBy(*keys).agg(F.count(counted).alias(out))
 
 
-def cents_sum(value: Column) -> Column:
-    """Exact money sum, returned as a double in whole currency units."""
-    return sum_or_zero(exact_cents(value)) / F.lit(100.0)
+def money_sum(value: Column) -> Column:
+    """Exact money sum, returned as a double."""
+    return sum_or_zero(exact_amount(value)).cast("double")
 
 
 def conditional_sums(conditions: Mapping[str, Column], value: Column) -> list[Column]:

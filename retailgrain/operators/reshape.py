@@ -18,15 +18,14 @@ def periods_to_columns(df: DataFrame, row: str, period: str, periods: Sequence,
     return df.groupBy(row).pivot(period, list(periods)).agg(F.first(value, ignorenulls=True))
 
 
-def keyed_map(df: DataFrame, key: str, metrics: Sequence[str], max_keys: int = 10_000) -> DataFrame:
-    """One map (key -> value) per metric in a single row, for report-sized results.
+def keyed_map(df: DataFrame, key: str, metrics: Sequence[str], groups: Sequence[str] = ()) -> DataFrame:
+    """One map (key -> value) per metric for each combination of ``groups``.
 
-    Refuses a result with more rows than ``max_keys``; those stay tables.
+    A map is one value of one row, so ``groups`` should leave few keys to each; a result that has no such
+    columns stays a table of (metric, key, value), see ``metrics_to_rows``.
     """
-    if df.limit(max_keys + 1).count() > max_keys:
-        raise ValueError(f"more than {max_keys} keys do not belong in one map")
     maps = [F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, m)))).alias(m) for m in metrics]
-    return df.agg(*maps)
+    return df.groupBy(*groups).agg(*maps)
 
 
 def to_records(df: DataFrame, out: str = "record") -> DataFrame:

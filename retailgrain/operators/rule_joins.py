@@ -1,10 +1,11 @@
-"""Rule tables too long for inlining, matched through equi-joins on a piece of the pattern.
-
-A pattern of 20 characters can only occur in a text that holds the pattern's first 16
-characters. So every text is reduced to its distinct pieces, candidates come from an
-equi-join of pieces, and a substring test confirms them. The piece is the longest power
-of two that fits in the pattern, up to 32, which keeps candidates few. Texts are made
-distinct first, therefore a text that fills a third of the table is matched once.
+"""Rule tables matched through equi-joins on a piece of the pattern.
+
+A pattern of 20 characters can only occur in a text that holds every 16 characters of the
+pattern. So every text is reduced to its distinct pieces, candidates come from an
+equi-join of pieces, and a substring test confirms them. The piece size is the longest of
+``PIECE_SIZES`` that fits in the pattern, and of a pattern's pieces the one found in the fewest texts is joined,
+so rules that begin alike do not meet every text that begins so. Texts are made distinct
+first, therefore a text that fills a third of the table is matched once, and pieces carry a hash of their text.
 """
 
 from __future__ import annotations
@@ -16,15 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retailgrain.functions.text import str_normalize
 from retailgrain.operators.projections import tag_first_substring
 from retailgrain.rules.fixed_values import OTHER_CITIES
-from retailgrain.rules.tables import CityRule, read_rules
-
-
-PIECE_SIZES = (32, 16, 8, 4, 2, 1)
+from retailgrain.rules.tables import CityRule
 
 
-def _piece_size(pattern: Column) -> Column:
-    """Largest piece size that fits in the pattern; NULL for an empty one."""
-    return F.coalesce(*[F.when(F.length(pattern) >= size, F.lit(size)) for size in PIECE_SIZES])
+PIECE_SIZES = (16, 4, 1)
 
 
 def _pieces(text: Column, size: int) -> Column:
@@ -33,32 +29,43 @@ def _pieces(text: Column, size: int) -> Column:
     return F.when(F.length(text) >= size, F.array_distinct(cut)).otherwise(F.array().cast("array<string>"))
 
 
+def _own_pieces(pattern: Column) -> Column:
+    """Pieces of the largest size that fits; the empty pattern is its own piece."""
+    return F.coalesce(*[F.when(F.length(pattern) >= size, _pieces(pattern, size)) for size in PIECE_SIZES], F.array(F.lit("")))
+
+
 def substring_pairs(texts: DataFrame, rules: DataFrame, pattern: str) -> DataFrame:
     """All (text, rule) pairs where the rule's pattern occurs in the text.
 
-    ``texts`` has one normalized column ``subject``, ``rules`` any columns.
+    ``texts`` has one normalized column ``subject``, ``rules`` any columns. As with any substring test,
+    an empty pattern occurs in every text and a NULL pattern in none.
     """
     ready = rules.withColumn("_pattern", str_normalize(F.col(pattern))).where(F.col("_pattern").isNotNull())
-    ready = ready.withColumn("_size", _piece_size(F.col("_pattern")))
-    # At most one row per piece size.
-    sizes = [r[0] for r in ready.select("_size").distinct().collect()]
-    if None in sizes:
-        raise ValueError("a rule pattern must not be empty")
+    patterns = ready.select("_pattern").distinct().select("_pattern", F.explode(_own_pieces(F.col("_pattern"))).alias("_piece"))
+    subjects = texts.select("subject", F.xxhash64("subject").alias("_hash"))
     # Pieces of different length never compare equal, so one join serves all sizes.
-    keyed_rules = ready.withColumn("_piece", F.col("_pattern").substr(F.lit(1), F.col("_size")))
-    cut = F.concat(F.array().cast("array<string>"), *[_pieces(F.col("subject"), size) for size in sizes])
-    keyed_texts = texts.select("subject", F.explode(cut).alias("_piece"))
-    pairs = keyed_texts.join(keyed_rules, "_piece").where(F.contains("subject", "_pattern"))
-    return pairs.drop("_piece", "_pattern", "_size")
+    cut = F.concat(F.array(F.lit("")), *[_pieces(F.col("subject"), size) for size in PIECE_SIZES])
+    held = subjects.select("_hash", F.explode(cut).alias("_piece")).join(patterns.select("_piece").distinct(), "_piece", "left_semi")
+    seen = held.groupBy("_piece").agg(F.count(F.lit(1)).alias("_texts"))
+    # A piece that no text holds rules its pattern out.
+    rare = patterns.join(seen, "_piece", "left").groupBy("_pattern").agg(
+        F.min_by("_piece", F.struct(F.coalesce("_texts", F.lit(0)), F.col("_piece"))).alias("_piece")
+    )
+    candidates = held.join(rare, "_piece").select("_hash", "_pattern")
+    found = candidates.join(subjects, "_hash").where(F.contains("subject", "_pattern")).select("subject", "_pattern").distinct()
+    return found.join(ready, "_pattern").drop("_pattern")
 
 
 def tag_first_substring_by_join(
     df: DataFrame, text: str, out: str, rules: DataFrame, default: str, strategy: str = "first"
 ) -> DataFrame:
     """Same result as ``tag_first_substring`` for a rule table (ordinal, pattern, city) of any length."""
+    if strategy not in ("first", "longest"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     keyed = df.withColumn("subject", str_normalize(F.col(text)))
     texts = keyed.select("subject").where(F.col("subject").isNotNull()).distinct()
-    rank = F.col("ordinal") if strategy == "first" else F.struct(-F.length("pattern"), F.col("ordinal"))
+    length = F.length(str_normalize(F.col("pattern")))
+    rank = F.struct("ordinal", "city") if strategy == "first" else F.struct(-length, F.col("ordinal"), F.col("city"))
     best = substring_pairs(texts, rules, "pattern").groupBy("subject").agg(F.min_by("city", rank).alias(out))
     return keyed.join(best, "subject", "left").drop("subject").withColumn(
         out, F.coalesce(out, F.lit(default))
@@ -73,12 +80,9 @@ def tag_by_rules(
     default: str = OTHER_CITIES,
     strategy: str = "first",
 ) -> DataFrame:
-    """First matching rule from a list or a table; short tables are inlined, long ones joined."""
+    """First matching rule: a list is compiled into expressions, a table is joined, both with the same result."""
     if isinstance(rules, DataFrame):
-        inlined = read_rules(rules, CityRule)
-        if inlined is None:
-            return tag_first_substring_by_join(df, text, out, rules, default, strategy)
-        rules = inlined
+        return tag_first_substring_by_join(df, text, out, rules, default, strategy)
     return tag_first_substring(df, text, out, rules, default, strategy)
 
 

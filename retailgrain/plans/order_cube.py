@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from retailgrain.functions import bucket, exact_cents
+from retailgrain.functions import bucket, exact_amount
 from retailgrain.operators.filters import all_present
 from retailgrain.operators.rule_joins import tag_by_rules
 from retailgrain.operators.windows import weigh_order_groups
@@ -39,17 +39,17 @@ def order_cube(
     })
     per_order = tagged.groupBy("order_no", "week_start", *CUBE_DIMS).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(exact_cents(F.col("price"))).alias("price_cents"),
+        F.sum(exact_amount(F.col("price"))).alias("price_sum"),
         F.sum("line_count").alias("line_count"),
-        F.sum(exact_cents(F.col("line_total"))).alias("total_cents"),
+        F.sum(exact_amount(F.col("line_total"))).alias("total_sum"),
         all_present(CUBE_DIMS).alias("complete"),
     )
     cells = weigh_order_groups(per_order, "order_no").where("complete")
     return cells.groupBy("week_start", *CUBE_DIMS).agg(
-        (F.sum("price_cents") / F.sum("row_count") / 100.0).alias("mean_price"),
+        (F.sum("price_sum").cast("double") / F.sum("row_count")).alias("mean_price"),
         F.sum("line_count").alias("line_count"),
         (F.sum("whole_orders") + F.sum("part_weight")).alias("order_weight"),
-        (F.sum("total_cents") / 100.0).alias("line_total"),
+        F.sum("total_sum").cast("double").alias("line_total"),
     )
 
 

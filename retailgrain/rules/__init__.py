@@ -5,7 +5,6 @@ from retailgrain.rules.tables import (
     MetricRule,
     ShopRule,
     barcode_table,
-    read_rules,
     rule_table,
 )
 
@@ -16,6 +15,5 @@ __all__ = [
     "MetricRule",
     "ShopRule",
     "barcode_table",
-    "read_rules",
     "rule_table",
 ]

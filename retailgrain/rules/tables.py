@@ -1,21 +1,18 @@
 """Business rules as data: typed rows on the driver, small tables in Spark.
 
-A rule list is configuration, a few dozen to a few hundred rows. Up to
-``INLINE_LIMIT`` rows a list is compiled into plain column expressions when the
-plan is built; longer ones stay tables and are matched with equi-joins
-(see ``operators.rule_joins``).
+A rule list is configuration, a few dozen to a few hundred rows, and is compiled into plain
+column expressions when the plan is built. A rule table of any length stays a table and is
+matched with equi-joins (see ``operators.rule_joins``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-INLINE_LIMIT = 500
-
 
 @dataclass(frozen=True)
 class CityRule:
@@ -90,13 +87,3 @@ def barcode_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
     return local_table(
         spark, ({"from_code": k, "to_code": v} for k, v in mapping.items()), BARCODE_SCHEMA
     )
-
-
-def read_rules(table: DataFrame, kind: type, limit: int = INLINE_LIMIT) -> list | None:
-    """Rule rows for inlining, or None when the table holds more than ``limit``."""
-    names = [f.name for f in fields(kind)]
-    rows = table.select(*names).limit(limit + 1).collect()
-    if len(rows) > limit:
-        return None
-    out = [kind(**{n: tuple(r[n]) if isinstance(r[n], list) else r[n] for n in names}) for r in rows]
-    return sorted(out, key=lambda r: r.ordinal) if "ordinal" in names else out

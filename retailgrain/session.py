@@ -7,9 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the operators rely on; all of them can be changed on a running session.
+# Settings for speed; none changes what a query means, so a running session can take them.
 RUNTIME_CONF = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,12 +17,12 @@ RUNTIME_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # Columnar files grow several times in memory; without this, sides are broadcast that should not be.
     "spark.sql.sources.fileCompressionFactor": "4.0",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
-# Only a new session can take these.
+# What a session of the library's own has besides.
 STATIC_CONF = {
+    "spark.sql.session.timeZone": "UTC",
     # Recording the Python call site of every column slows down building wide plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -49,7 +48,7 @@ def build_session(
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the library's settings to a session somebody else built."""
+    """Apply the settings for speed to a session somebody else built; its time zone and write modes stay."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     return spark

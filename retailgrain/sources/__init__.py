@@ -9,6 +9,7 @@ from retailgrain.sources.readers import (
     read_table,
 )
 from retailgrain.sources.sinks import (
+    PERSONAL_COLUMNS,
     append_rows,
     create_table,
     delete_not_null,
@@ -19,6 +20,7 @@ from retailgrain.sources.sinks import (
 from retailgrain.sources.snapshots import invalidate_after, snapshot_if_stale
 
 __all__ = [
+    "PERSONAL_COLUMNS",
     "SALES_FACT_SCHEMA",
     "STOCK_SCHEMA",
     "append_rows",

@@ -6,11 +6,10 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from retailgrain.functions.text import row_digest
 from retailgrain.operators.filters import date_range, on_day
-from retailgrain.operators.projections import trim_headers
 from retailgrain.operators.yoy import SUM_METRICS
 
 SALES_FACT_SCHEMA = T.StructType([
@@ -46,6 +45,8 @@ class JdbcSource:
             "fetchsize": "10000",
             "pushDownPredicate": "true",
             "pushDownAggregate": "true",
+            # Dates and times of the database have no zone; the machine's zone must not move them.
+            "preferTimestampNTZ": "true",
             **self.properties,
         }
 
@@ -85,6 +86,18 @@ def read_snapshot(
     return on_day(read_table(spark, source), day_column, day).select(*columns)
 
 
+def stock_layouts(spark: SparkSession, folder: str, glob: str = "*.csv") -> DataFrame:
+    """(source_path, names): the trimmed column names of every file, from its first line."""
+    lines = spark.read.option("pathGlobFilter", glob).text(folder)
+    # Ids rise along a file's first block, so the smallest one belongs to its first line.
+    first = lines.select(
+        "value", F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"),
+    ).where("_start = 0").groupBy("source_path").agg(F.min_by("value", "_id").alias("_header"))
+    names = F.transform(F.split("_header", ","), lambda c: F.trim(F.btrim(F.btrim(c, F.lit(" \t\r\ufeff")), F.lit('"'))))
+    return first.select("source_path", names.alias("names"))
+
+
 def read_stock_files(
     spark: SparkSession,
     folder: str,
@@ -92,25 +105,38 @@ def read_stock_files(
     glob: str = "*.csv",
     run_ts: dt.datetime | None = None,
     hash_rows: bool = False,
+    hash_files: bool = False,
 ) -> DataFrame:
-    """All stock files of a folder, headers trimmed, with ``source_file`` and ``run_ts``.
+    """All stock files of a folder, columns found by their trimmed names, with ``source_file`` and ``run_ts``.
 
-    Without a schema every column is text. ``hash_rows`` adds ``content_hash``, a
-    digest of each row; ``file_fingerprints`` adds them up per file.
+    Files may order their columns differently or lack some, which are then NULL. Without a schema every
+    column is text, and the columns are those of all files; finding their names reads the first
+    lines. ``hash_rows`` adds ``content_hash``, a digest of each row, ``hash_files`` adds ``file_hash``, the sum of
+    the digests of a file's rows (see ``file_fingerprints``).
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", glob)
-    if schema is not None:
-        reader = reader.schema(schema)
-    raw = reader.csv(folder)
-    content = trim_headers(raw)
-    names = content.columns
-    # The metadata column belongs to the scan, so it is selected beside the trimmed columns.
-    rows = raw.select(
-        *[F.col(f"`{old}`").alias(new) for old, new in zip(raw.columns, names)],
-        F.col("_metadata.file_name").alias("source_file"),
-    )
+    layouts = stock_layouts(spark, folder, glob)
+    # One row for each distinct layout, not for each file.
+    found = [r["names"] for r in layouts.select("names").distinct().collect()]
+    names = [f.name for f in schema] if schema is not None else list(dict.fromkeys(n for names in sorted(found) for n in names))
+    width = max([len(n) for n in found], default=1)
+    cells = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    raw = spark.read.option("header", True).option("pathGlobFilter", glob).schema(cells).csv(folder)
+    raw = raw.select(
+        F.array(*[F.col(c.name) for c in cells]).alias("_cells"),
+        F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("source_path"),
+    ).join(layouts, "source_path")
+
+    def named(name: str) -> Column:
+        place = F.array_position("names", F.lit(name)).cast("int")
+        text = F.when(place > 0, F.try_element_at("_cells", F.when(place > 0, place).otherwise(1)))
+        return (text if schema is None else text.try_cast(schema[name].dataType)).alias(name)
+
+    rows = raw.select(*[named(n) for n in names], "source_file")
     if hash_rows:
         rows = rows.withColumn("content_hash", row_digest(names))
+    if hash_files:
+        digests = file_fingerprints(rows, names).select("source_file", F.col("content_hash").alias("file_hash"))
+        rows = rows.join(digests, "source_file").select(*rows.columns, "file_hash")
     return rows.withColumn("run_ts", F.lit(run_ts).cast("timestamp") if run_ts else F.current_timestamp())
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from retailgrain.rules.fixed_values import CUBE_COLUMNS
 
-# Never written to an export unless asked for.
+# What an export should leave out; the caller says so.
 PERSONAL_COLUMNS = ("first_name", "last_name", "email", "phone", "address", "street")
 
 
@@ -29,29 +29,41 @@ def append_rows(df: DataFrame, name: str) -> None:
 
 
 def replace_rows(df: DataFrame, name: str) -> None:
-    """Full refresh: the table holds exactly these rows afterwards."""
-    table = df.sparkSession.table(name)
-    df.select(*[F.col(f.name).cast(f.dataType) for f in table.schema]).write.insertInto(name, overwrite=True)
+    """Full refresh: the table holds exactly these rows afterwards, partitions that got no row included."""
+    spark = df.sparkSession
+    rows = df.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(name).schema])
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        rows.write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
 
 
 def delete_not_null(spark: SparkSession, name: str, key: str, new_location: str) -> None:
     """Delete the rows whose key is not NULL.
 
     The rest is written to a new folder and the table is pointed at it in one step,
-    so readers see either the old rows or the new ones.
+    so readers see either the old rows or the new ones. The partitions of a partitioned table keep
+    their own folders; there the rest is stored first and then replaces all of them.
     """
     spark.table(name).where(F.col(key).isNull()).write.mode("errorifexists").parquet(new_location)
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        replace_rows(spark.read.schema(spark.table(name).schema).parquet(new_location), name)
+        return
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{new_location}'")
     spark.catalog.refreshTable(name)
 
 
-def write_csv(df: DataFrame, path: str, drop: Sequence[str] = PERSONAL_COLUMNS, header: bool = True) -> None:
-    """CSV dump without personal columns; one file per partition."""
+def write_csv(df: DataFrame, path: str, drop: Sequence[str], header: bool = True) -> None:
+    """CSV dump without the columns to drop (see ``PERSONAL_COLUMNS``); one file per partition."""
     df.drop(*drop).write.mode("overwrite").option("header", header).csv(path)
 
 
 def write_recon_export(rows: DataFrame, path: str, error: str = "no data") -> None:
-    """Export reconciled rows; without any, a one-column table that says so."""
-    if rows.isEmpty():
-        rows = rows.sparkSession.range(1).select(F.lit(error).alias("error"))
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    """Export reconciled rows; without any, a one-column table that says so. The rows are made once."""
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).csv(path)
+    if not seen.get["rows"]:
+        nothing = rows.sparkSession.range(1).select(F.lit(error).alias("error"))
+        nothing.write.mode("overwrite").option("header", True).csv(path)

@@ -4,27 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# The epoch was a Thursday, so seven-day windows need four days to start on Mondays.
-MONDAY_OFFSET = "4 days"
+from retailgrain.functions.dates import week_start
+from retailgrain.functions.numbers import exact_amount
 
-
-def week_window(ts: str = "ts") -> Column:
-    return F.window(ts, "7 days", startTime=MONDAY_OFFSET)
-
-
-def weekly_counts(
-    rows: DataFrame, ts: str, keys: Sequence[str], value: str, late: str | None = None
-) -> DataFrame:
-    """Rows and exact value sum per week and keys; works on a table and on a stream."""
-    timed = rows.withColumn("_ts", F.col(ts).cast("timestamp"))
-    if late:
-        timed = timed.withWatermark("_ts", late)
-    cents = F.round(F.col(value) * 100).cast("bigint")
-    return timed.groupBy(week_window("_ts").alias("_week"), *keys).agg(
-        F.count(F.lit(1)).alias("row_count"), F.sum(cents).alias("value_cents")
-    ).select(F.to_date("_week.start").alias("week_start"), *keys, "row_count", "value_cents")
+def weekly_counts(rows: DataFrame, ts: str, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows and exact value sum per week and keys."""
+    return rows.groupBy(week_start(F.col(ts)).alias("week_start"), *keys).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(exact_amount(F.col(value))).alias("value_sum")
+    )
 
 
 def weekly_counts_stream(
@@ -35,27 +24,33 @@ def weekly_counts_stream(
     value: str,
     out_path: str,
     checkpoint: str,
-    late: str = "14 days",
 ) -> DataFrame:
-    """Process everything available and return the current counts per week.
+    """Process everything available and return the counts per week.
 
-    Each micro-batch writes the weeks it changed under its own number; writing a
-    number again after a failure replaces the same folder. The newest number of a
-    week is its count.
+    Counts and sums add up, so each micro-batch stores those of its own rows under its
+    number, and reading adds them. There is no state and no watermark: a row counts however late it comes. Writing a
+    number again after a failure replaces the same folder.
     """
 
-    def write_changes(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+    def write_part(rows: DataFrame, batch_id: int) -> None:
+        weekly_counts(rows, ts, keys, value).write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
     query = (
-        weekly_counts(stream, ts, keys, value, late)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
+        stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(write_changes)
+        .foreachBatch(write_part)
         .start()
     )
     query.awaitTermination()
-    changes = spark.read.parquet(out_path)
-    latest = F.max_by(F.struct("row_count", "value_cents"), "batch").alias("_latest")
-    return changes.groupBy("week_start", *keys).agg(latest).select("week_start", *keys, "_latest.*")
+    return add_up(spark.read.parquet(out_path), keys)
+
+
+def add_up(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return parts.groupBy("week_start", *keys).agg(
+        F.sum("row_count").alias("row_count"), F.sum("value_sum").cast("decimal(38,6)").alias("value_sum")
+    )
+
+
+def fold_batches(spark: SparkSession, folder: str, into: str, keys: Sequence[str]) -> None:
+    """Add up the stored parts of a stopped stream in one new folder, for streams with many batches."""
+    add_up(spark.read.parquet(folder), keys).write.mode("overwrite").parquet(f"{into}/batch=-1")

@@ -70,8 +70,12 @@ def connected(
     while True:
         turn += 1
         # A key with one component keeps one, so each turn starts from the keys the last one left open.
-        known, groups, open_rows = _open(steps, turn, open_rows, members, carried, components(steps, links, f"turn{turn}"))
+        label = components(steps, links, f"turn{turn}")
+        known, groups, open_rows = _open(steps, turn, open_rows, members, carried, label)
         steps.drop(f"open{turn - 1}", f"known{turn - 1}")
+        mixed = groups.where("part.mixed is not null").select("g", F.col("g").alias("h"))
+        if open_rows.isEmpty() and mixed.isEmpty():
+            return label
         if not useful:
             break
         there = lambda c: F.col(f"pick.{c}")
@@ -86,6 +90,7 @@ def connected(
         useful = linked * 8 > tried
         if not linked:
             break
+        steps.drop(f"tries{turn}")
         links = links.union(found)
     x, y = open_rows.where("not in_main").alias("x"), open_rows.alias("y")
     cross = x.join(
@@ -95,7 +100,6 @@ def connected(
         & (F.col("y.in_main") | (F.col("x.g") < F.col("y.g")))
         & admissible(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")),
     ).select(F.least("x.g", "y.g").alias("g"), F.greatest("x.g", "y.g").alias("h")).distinct()
-    mixed = groups.where("part.mixed is not null").select("g", F.col("g").alias("h"))
     p = known.select("g", F.col("m").alias("a"), F.col("c").alias("ca"))
     q = known.select(F.col("g").alias("h"), F.col("m").alias("b"), F.col("c").alias("cb"))
     rest = cross.union(mixed).join(p, "g").join(q, "h").where("ca <> cb and (g <> h or a < b)")

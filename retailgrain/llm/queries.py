@@ -74,3 +74,31 @@ def op5_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
+_REACHED = """
+both_ways AS (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links),
+reach(node, other) AS (SELECT DISTINCT x, x FROM both_ways UNION SELECT r.node, l.y FROM reach r JOIN both_ways l ON r.other = l.x),
+found AS (SELECT node, min(other) AS component FROM reach GROUP BY 1)"""
+
+SQL["op6_cover_tree_pairs"] = f"""
+WITH RECURSIVE able AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0 AND len([x for x in embedding if x <> 0]) > 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM able p JOIN able q ON p.label = q.label AND p.vec_id < q.vec_id
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.98),
+{_REACHED},
+degree AS (SELECT x AS node, count(*) AS n FROM both_ways GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component, vec_id) AS component_id, vec_id = coalesce(component, vec_id) AS kept
+FROM embeddings LEFT JOIN found f ON vec_id = f.node LEFT JOIN degree d ON vec_id = d.node"""
+
+SQL["op9_grouped_prefix_join"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (SELECT p.doc_id AS a, q.doc_id AS b FROM one p JOIN one q ON p.g = q.g AND p.doc_id < q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+{_REACHED}
+SELECT doc_id, len(s) AS n_shingles, coalesce(component, doc_id) AS component_id FROM sets LEFT JOIN found ON doc_id = node"""

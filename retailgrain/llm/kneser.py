@@ -86,8 +86,10 @@ def model(steps: Steps, top: DataFrame) -> DataFrame:
 def shards(table: DataFrame, most: int) -> list[list[int]]:
     """Sets of bytes before the scored one; a shard holds all that can follow its bytes, ``most`` rows if possible."""
     sizes = table.where("abs(kind) > 1").groupBy(before().alias("b")).agg(F.count("*").alias("n")).collect()  # 256 rows at most
+    rows = {r["b"]: r["n"] for r in sizes}
     out, room = [[]], most
-    for b, n in sorted((r["b"], r["n"]) for r in sizes):
+    for b in range(SYMBOLS):  # also those that no trusted text holds
+        n = rows.get(b, 0)
         if n > room and out[-1]:
             out.append([])
             room = most
@@ -194,7 +196,8 @@ def perplexities(
     judged = scored.join(trusted.where("not train").select("doc_id"), "doc_id", "left_semi").where("perplexity is not null")
     limits = judged.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("threshold"))
     out = scored.join(limits, "lang", "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return out.select(
+    out = out.select(
         "doc_id", F.when(F.col("lang") != "\0", F.col("lang")).alias("lang"), (F.col("n") / F.col("rows")).cast("bigint").alias("n_bytes"), "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"),
     )
+    return steps.finish(out)

@@ -85,7 +85,7 @@ def test_mix_meets_its_target(spark, limit):
         places[r.block].append(r.position)
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
     n = len(blocks)
-    assert n == math.ceil(total / 2000) or n == math.ceil(sum(round(repeats[s] * own[s]) for s in own) / 2000)
+    assert abs(n - total / 2000) <= 1  # of the budget, which a source overruns by less than a document
     for b in blocks.values():
         assert all(abs(b[s] - mixed[s] / n) <= 2 * 60 for s in own)
 

@@ -79,6 +79,15 @@ class Steps:
             df.write.parquet(f"{self.root}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
+    def finish(self, df: DataFrame) -> DataFrame:
+        """Store the result and remove all other steps."""
+        out = self.save("result", df)
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        store = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        self.drop(*[n for s in store.listStatus(root) if (n := s.getPath().getName()) != "result"])
+        return out
+
     def drop(self, *names: str) -> None:
         """Remove stored steps that no later plan reads."""
         jvm = self.spark._jvm
@@ -125,31 +134,25 @@ def components(steps: Steps, edges: DataFrame, name: str = "components") -> Data
     pair = lambda df: df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = steps.save(f"{name}-edges0", pair(edges))
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    labels = steps.save(f"{name}-labels0", nodes.withColumn("component", F.col("node")))
-    turn = 0
+    labels, turn = nodes.withColumn("component", F.col("node")), 0
     while not edges.isEmpty():
-        turn += 1
         parents = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-        parents = steps.save(f"{name}-parents{turn}-0", parents)
-        hops = 0
-        while True:  # follow chains: a parent that has a parent itself is replaced by it
-            up = parents.select(F.col("node").alias("component"), F.col("component").alias("_up"))
-            moved = parents.join(up, "component", "left").select(
-                "node", F.coalesce("_up", "component").alias("component"), F.col("_up").isNotNull().alias("_moved")
-            )
+        parents, hops = steps.save(f"{name}-parents{turn}-0", parents), 0
+        while True:  # follow chains: two steps at a time, until the second leads nowhere
+            up = lambda c: parents.select(F.col("node").alias(c), F.col("component").alias(f"{c}_up"))  # noqa: B023, E731
+            moved = parents.withColumnRenamed("component", "one").join(up("one"), "one", "left").withColumnRenamed("one_up", "two").join(up("two"), "two", "left")
+            moved = moved.select("node", F.coalesce("two_up", "two", "one").alias("component"), F.col("two_up").isNotNull().alias("far"))
             moved = steps.save(f"{name}-parents{turn}-{hops + 1}", moved)
-            again = not moved.where("_moved").isEmpty()
             steps.drop(f"{name}-parents{turn}-{hops}")
             parents, hops = moved.select("node", "component"), hops + 1
-            if not again:
+            if moved.where("far").isEmpty():
                 break
-        up = parents.select(F.col("node").alias("component"), F.col("component").alias("_up"))
-        next_labels = labels.join(up, "component", "left").select("node", F.coalesce("_up", "component").alias("component"))
-        next_labels = steps.save(f"{name}-labels{turn}", next_labels)
-        to = lambda c: parents.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+        to = lambda c: parents.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))  # noqa: B023, E731
+        relabelled = labels.join(to("component"), "component", "left").select("node", F.coalesce("_component", "component").alias("component"))
+        relabelled = steps.save(f"{name}-labels{turn}", relabelled)
         renamed = edges.join(to("a"), "a", "left").join(to("b"), "b", "left")
         renamed = renamed.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
-        next_edges = steps.save(f"{name}-edges{turn}", pair(renamed))
-        steps.drop(f"{name}-labels{turn - 1}", f"{name}-edges{turn - 1}", f"{name}-parents{turn}-{hops}")
-        labels, edges = next_labels, next_edges
+        contracted = steps.save(f"{name}-edges{turn + 1}", pair(renamed))
+        steps.drop(f"{name}-labels{turn - 1}", f"{name}-edges{turn}", f"{name}-parents{turn}-{hops}")
+        labels, edges, turn = relabelled, contracted, turn + 1
     return labels

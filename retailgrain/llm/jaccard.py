@@ -101,12 +101,24 @@ def signatures(docs: DataFrame, words: int, percent: int, classes: np.ndarray) -
     return docs.mapInArrow(sign, "doc_id bigint, n bigint, fp1 bigint, fp2 bigint, gkey bigint, prefix array<bigint>")
 
 
+def seven_bytes(tokens: np.ndarray) -> bytes:
+    """Hashes of 56 bits without their empty byte."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes()
+
+
+def from_seven_bytes(raw) -> np.ndarray:
+    part = np.frombuffer(raw, np.uint8).reshape(-1, 7)
+    out = np.zeros((len(part), 8), np.uint8)
+    out[:, :7] = part
+    return out.view("<u8").ravel()
+
+
 def whole_sets(docs: DataFrame, words: int) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, rows in sets(batch.column(1), words, None):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[i : i + len(rows)], pa.array([r.tobytes() for r in rows], pa.binary())], ["m", "tokens"]
+                    [batch.column(0)[i : i + len(rows)], pa.array([seven_bytes(r) for r in rows], pa.binary())], ["m", "tokens"]
                 )
 
     return docs.mapInArrow(make, "m bigint, tokens binary")
@@ -119,7 +131,7 @@ def linked(pairs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("ta"), batch.column("tb"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
+                p, q = from_seven_bytes(x.as_buffer()), from_seven_bytes(y.as_buffer())
                 if len(p) > len(q):
                     p, q = q, p
                 at = np.searchsorted(q, p)
@@ -192,7 +204,7 @@ def join(
     at = of_class.join(found.withColumnRenamed("node", "m"), "m", "left").select("fp1", "fp2", "n", F.coalesce("component", "m").alias("component_id"))
     placed = rows.join(at, ["fp1", "fp2", "n"], "left")
     own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return placed.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    return steps.finish(placed.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id")))
 
 
 def distinct_documents(spark: SparkSession, df: DataFrame, **options) -> DataFrame:

@@ -7,7 +7,7 @@ A posting (key, g) says that a group may match any other group under the same ke
    these partners each group keeps the most frequent one; inside a group every member meets the first.
    Verified pairs are links, and links are joined to components.
 2. Turns: keys with one component are done. Under the others, every group outside the key's largest component
-   tries one group of it, of all its keys the most frequent, as long as an eighth of such pairs links.
+   tries two groups of it, those it meets under most keys, as long as an eighth of such pairs links.
 3. Rest: the only pairs that can still change a component lie in different components. Groups outside the
    key's largest component meet all groups of other components, and their members are verified.
 
@@ -79,10 +79,9 @@ def connected(
         if not useful:
             break
         there = lambda c: F.col(f"pick.{c}")
-        tries = (
-            open_rows.where(~F.col("in_main") & admissible(F.col, there)).groupBy("g", there("g").alias("other")).agg(F.count("*").alias("n"))
-            .groupBy("g").agg(F.max_by("other", F.struct("n", "other")).alias("other"))
-        )
+        tries = open_rows.where("not in_main").withColumn("pick", F.explode("picks")).where(admissible(F.col, there))
+        tries = tries.groupBy("g", there("g").alias("other")).agg(F.count("*").alias("n"))
+        tries = tries.withColumn("k", F.row_number().over(W.partitionBy("g").orderBy(F.desc("n"), "other"))).where("k <= 2")
         pairs = tries.join(a, "g").join(b, "other").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = steps.save(f"tries{turn}", pairs)
         found = steps.save(f"links{turn}", verify(f"links{turn}", pairs))
@@ -111,21 +110,22 @@ def connected(
 def _open(steps: Steps, turn: int, shared: DataFrame, members: DataFrame, carried: list[str], found: DataFrame) -> tuple[DataFrame, ...]:
     """Members with their component, groups with theirs, and the postings of keys that still hold several.
 
-    Each such posting says whether it is in the key's largest component, and names one group of that
-    component, the same under many keys but another in each turn.
+    Each such posting says whether it is in the key's largest component, and if not, names a few groups of that
+    component, the same under many keys but others in each turn.
     """
     known = members.join(found.withColumnRenamed("node", "m"), "m", "left")
     known = steps.save(f"known{turn}", known.select("g", "m", F.coalesce("component", "m").alias("c")))
     same = F.min("c") == F.max("c")
     groups = known.groupBy("g").agg(F.struct(F.min("c").alias("c"), F.when(~same, F.col("g")).alias("mixed")).alias("part"))
     here = steps.save(f"parts{turn}", shared.select("key", "g", *carried).join(groups, "g"))
-    pick = F.min_by(F.struct("g", *carried), F.xxhash64(F.lit(turn), "g"))
+    picks = F.array_distinct(F.array(*[F.min_by(F.struct("g", *carried), F.xxhash64(F.lit(8 * turn + i), "g")) for i in range(4)]))
     keys = (
-        here.groupBy("key", "part").agg(F.count("*").alias("n"), pick.alias("pick"))
-        .groupBy("key").agg(F.max_by(F.struct("part", "pick"), F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
-        .where("parts > 1").select("key", F.col("top.part").alias("main"), F.col("top.pick").alias("pick"))
+        here.groupBy("key", "part").agg(F.count("*").alias("n"), picks.alias("picks"))
+        .groupBy("key").agg(F.max_by(F.struct("part", "picks"), F.struct("n", "part")).alias("top"), F.count("*").alias("parts"))
+        .where("parts > 1").select("key", F.col("top.part").alias("main"), F.col("top.picks").alias("picks"))
     )
     open_rows = here.join(keys, "key").withColumn("in_main", F.col("part").eqNullSafe(F.col("main"))).drop("main")
+    open_rows = open_rows.withColumn("picks", F.when(~F.col("in_main"), F.col("picks")))
     open_rows = steps.save(f"open{turn}", open_rows)
     steps.drop(f"parts{turn}")
     return known, groups, open_rows

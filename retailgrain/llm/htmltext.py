@@ -14,8 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(r"<!--(?:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+|<)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=\"'/<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# As the standard's tokenizer reads attributes: a quote delimits only directly after "=", elsewhere it is a character like others.
+_VALUE = r"\"([^\"]*)\"|'([^']*)'|([^ \t\n\r\f\"'>][^ \t\n\r\f>]*+)|(?=>)"
+_ATTRIBUTE = rf"([^ \t\n\r\f/>][^ \t\n\r\f/>=]*+)(?:[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:{_VALUE})|(?![ \t\n\r\f]*+=))"
+ATTRIBUTE = re.compile(_ATTRIBUTE)
+_ATTRIBUTES = rf"(?:[ \t\n\r\f/]*+{re.sub(r'[(](?![?])', '(?:', _ATTRIBUTE)})*+[ \t\n\r\f/]*+"
+TOKEN = re.compile(rf"<!--(?:.*?)(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<[!?][^>]*>|([^<]+|<)", re.S)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
 

@@ -278,6 +278,23 @@ def test_html_text(html, text):
     assert htmltext.text_of(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<p title=it's>Hello</p><p>I don't know</p><p>end</p>", "Hello\n\nI don't know\n\nend"),
+        ('<a href="x"">link</a>', "link"),
+        ("<p title=5\">one</p><p>6\" two</p>", "one\n\n6\" two"),
+        ("<p it's>a</p><p>b's</p>", "a\n\nb's"),
+        ("<p title='a>b' id = \"c>d\">x</p y'>z", "x\n\nz"),
+        ("<p title=>x</p><p = hidden>y</p><p class=a/b'c hidden>no</p>z'", "x\n\nz'"),
+        ('<p title="never closed>x</p>', '<p title="never closed>x'),
+        ("<b a=1'b=2>x</b><br/><input type=submit value='a\"b'>", "x\na\"b"),
+    ],
+)
+def test_quotes_delimit_only_after_an_equals_sign(html, text):
+    assert htmltext.text_of(html) == text
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a", "x"), (2, "u", None, "x"), (None, "u", "", "x"), (1, "u", "<p>a", "x")], "page_id bigint, url string, html string, text string")
     assert sorted(map(tuple, htmltext.extract(pages).collect()), key=str) == sorted([(1, "a", 1), (2, "", 0), (None, "", 0), (1, "a", 1)], key=str)

@@ -52,7 +52,7 @@ def op9_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.dedup(spark, docs)
+    return lines.dedup(spark, docs, bands=lines.BANDS)
 
 
 @query

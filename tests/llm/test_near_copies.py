@@ -7,7 +7,7 @@ import random
 import pytest
 from helpers_llm import DOCS, awkward_rows, documents, edited, prose, shingles, smallest_reachable
 
-from retailgrain.llm import jaccard, lines
+from retailgrain.llm import jaccard, lines, queries
 
 
 def brute(rows):
@@ -106,6 +106,28 @@ def test_fuzzy_lines_match_brute_force(spark):
     assert sum(map(len, want.values())) > 60
 
 
+def test_query_finds_lines_similar_by_the_plain_definition(spark, tmp_path):
+    """Edit similarity of 0.8 alone, without fingerprints; a replaced word in short and long lines."""
+    rng = random.Random(12)
+    rows = []
+    for words in (6, 8, 12, 15, 20, 30, 40, 60) * 5:
+        base = prose(rng, words)
+        rows += [(len(rows) + k, "\n".join([prose(rng, 12), edited(rng, base, k)])) for k in range(3)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, k) for r in queries.op1_simhash_lines(spark, str(tmp_path)).collect() for k in r.lines_dropped or []}
+    texts = [(i, k, lines.normal(x)) for i, t in rows for k, x in enumerate(t.split("\n"))]
+    links = []
+    for a, (i, k, x) in enumerate(texts):
+        for j, m, y in texts[a + 1 :]:
+            most = max(len(x), len(y)) * 20 // 100
+            if lines.edit_distance(x, y, most) <= most:
+                links.append(((i, k), (j, m)))
+    first = smallest_reachable([(i, k) for i, k, _ in texts], links)
+    want = {n for n, f in first.items() if n != f}
+    assert got <= want
+    assert len(want) >= 60 and len(got) >= 0.95 * len(want)
+
+
 def test_any_cut_into_blocks_finds_the_same(spark):
     rng = random.Random(4)
     base = prose(rng, 80)

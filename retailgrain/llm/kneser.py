@@ -22,6 +22,8 @@ from retailgrain.llm.textbytes import slices, utf8
 
 ORDER = 5
 SYMBOLS = 256
+KEYS = ("doc_id", "lang", "text_md5", "model")
+POOL = "\1"  # the model of all languages
 MASK = [(1 << (8 * k)) - 1 for k in range(ORDER + 1)]
 
 
@@ -104,7 +106,7 @@ def before() -> Column:
 
 
 def partial(docs: DataFrame, table: DataFrame, own: list[int], langs: list[str]) -> DataFrame:
-    """(doc_id, lang, text_md5, log_p, n) from the positions of one shard, whose rows go to every task."""
+    """(doc_id, lang, text_md5, model, log_p, n) from the positions of one shard, whose rows go to every task."""
     place = F.when(F.col("kind") > 0, F.col("kind")).otherwise(8 - F.col("kind"))
     number = F.create_map(*[F.lit(x) for pair in zip(langs, range(len(langs)), strict=True) for x in pair])[F.col("lang")]
     key = F.shiftleft(place.cast("bigint"), 56).bitwiseOR(F.shiftleft(number.cast("bigint"), 40)).bitwiseOR(F.col("g"))
@@ -137,7 +139,7 @@ def partial(docs: DataFrame, table: DataFrame, own: list[int], langs: list[str])
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            lang = [numbers.get(x, -1) for x in batch.column("lang").to_pylist()]
+            lang = [numbers.get(x, -1) for x in batch.column("model").to_pylist()]
             sums, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
             for i, j in slices(offsets):
                 at = offsets[i : j + 1] - offsets[i]
@@ -149,9 +151,9 @@ def partial(docs: DataFrame, table: DataFrame, own: list[int], langs: list[str])
                     here = np.flatnonzero(chosen & (numbers_at == x))
                     sums += np.bincount(owner[here], log_p(code[here], x), batch.num_rows)
                     n += np.bincount(owner[here], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "lang", "text_md5")], pa.array(sums), pa.array(n)], ["doc_id", "lang", "text_md5", "log_p", "n"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in KEYS], pa.array(sums), pa.array(n)], [*KEYS, "log_p", "n"])
 
-    return docs.mapInArrow(run, "doc_id bigint, lang string, text_md5 string, log_p double, n bigint")
+    return docs.mapInArrow(run, "doc_id bigint, lang string, text_md5 string, model string, log_p double, n bigint")
 
 
 def perplexities(
@@ -159,6 +161,7 @@ def perplexities(
     df: DataFrame,
     labels: DataFrame,
     quantile: float = 0.995,
+    folds: int = 1,
     shard_rows: int = 2_000_000,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -167,35 +170,56 @@ def perplexities(
 ) -> DataFrame:
     """(doc_id, lang, n_bytes, perplexity, threshold, kept) for every row of ``df``.
 
-    Trusted are documents with label 1, never 0; half of them by a hash of the id train the model, the other half
-    set the threshold. All their text counts. Null and empty texts, and
-    languages without trusted text, have no perplexity and are kept; so is a language without a threshold.
+    Trusted are documents with label 1, never 0; a hash of the id halves them. With ``folds`` 1 the first half trains
+    the model and the other half sets the threshold. With ``folds`` 2 each half trains a model: the trusted documents of a half are judged by
+    the other's model and all set the threshold, other documents get the geometric mean of both perplexities, and
+    languages without trusted text in both halves are judged by models and a threshold of all trusted text.
+    All their text counts. Null and empty texts, and
+    languages without a model, have no perplexity and are kept; so is a language without a threshold.
     A null language is a language of its own. Equal rows get equal results. An empty table
     gives no rows. The driver sees one shard of the model at a time.
     """
+    if folds not in (1, 2):
+        raise ValueError("folds must be 1 or 2")
     steps = Steps(spark, "kneser")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("\0"))
     docs = df.select(F.col(id_col).cast("bigint").alias("doc_id"), lang.alias("lang"), F.md5(text.cast("binary")).alias("text_md5"), text.alias("text"))
     trusted = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("doc_id"))
-    trusted = trusted.agg(F.min(label_col).alias("least")).where("least = 1").select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0).alias("train"))
+    trusted = trusted.agg(F.min(label_col).alias("least")).where("least = 1").select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2).cast("int").alias("fold"))
     trusted = steps.save("trusted", trusted)
-    train = docs.join(trusted.where("train").select("doc_id"), "doc_id", "left_semi").select("lang", "text")
-    top = steps.save("counts", counts(train))
-    langs = sorted(r["lang"] for r in top.select("lang").distinct().collect())  # as many as there are languages
+    train = docs.join(trusted, "doc_id").select("lang", "text", "fold")
+    if folds == 1:
+        top = steps.save("counts", counts(train.where("fold = 0").select("lang", "text")))
+        asked = docs.withColumn("model", F.col("lang"))
+    else:
+        half = lambda fold, name: F.concat(fold.cast("string"), name)
+        able = train.where("text <> ''").groupBy("lang").agg(F.count_distinct("fold").alias("k")).where("k = 2")
+        known = sorted(r["lang"] for r in able.collect())  # as many as there are languages
+        pooled = not docs.where(~F.col("lang").isin(known)).isEmpty()
+        names = [F.col("lang"), F.lit(POOL)] if pooled else [F.col("lang")]
+        train = train.select(F.explode(F.array(*[half(F.col("fold"), x) for x in names])).alias("lang"), "text")
+        top = steps.save("counts", counts(train))
+        scale = F.when(F.col("lang").isin(known), F.col("lang")).otherwise(F.lit(POOL))
+        other = F.array_distinct(F.array(*[half(1 - F.col("fold"), x) for x in (scale, *names[1:])]))
+        both = F.array(*[half(F.lit(x), scale) for x in (0, 1)])
+        asked = docs.join(trusted, "doc_id", "left").withColumn("model", F.explode(F.when(F.col("fold").isNotNull(), other).otherwise(both))).select(*docs.columns, "model")
+    langs = sorted(r["lang"] for r in top.select("lang").distinct().collect())  # as many as there are languages, for each half
     table = model(steps, top)
-    parts = [steps.save(f"partial{i}", partial(docs, table, own, langs)) for i, own in enumerate(shards(table, shard_rows))] if langs else []
+    parts = [steps.save(f"partial{i}", partial(asked, table, own, langs)) for i, own in enumerate(shards(table, shard_rows))] if langs else []
     if not parts:
-        parts = [docs.select("doc_id", "lang", "text_md5", F.lit(0.0).alias("log_p"), F.lit(0).cast("bigint").alias("n"))]
-    scored = reduce(DataFrame.union, parts).groupBy("doc_id", "lang", "text_md5").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"), F.count("*").alias("k"))
+        parts = [asked.select(*KEYS, F.lit(0.0).alias("log_p"), F.lit(0).cast("bigint").alias("n"))]
+    scored = reduce(DataFrame.union, parts).groupBy(*KEYS).agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"), F.count("*").alias("k"))
     scored = scored.select(
-        "doc_id", "lang", (F.col("k") / len(parts)).cast("int").alias("rows"), F.col("n"),
-        F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity"),
+        *KEYS, (F.col("k") / len(parts)).cast("int").alias("rows"), F.col("n"), F.when(F.col("n") > 0, -F.col("log_p") / F.col("n")).alias("loss"),
+        (F.col("model") if folds == 1 else F.substring("model", 2, 1 << 20)).alias("scale"),
     )
     scored = steps.save("scored", scored)
-    judged = scored.join(trusted.where("not train").select("doc_id"), "doc_id", "left_semi").where("perplexity is not null")
-    limits = judged.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("threshold"))
-    out = scored.join(limits, "lang", "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    judged = scored.join(trusted.where("fold = 1") if folds == 1 else trusted, "doc_id", "left_semi").where("loss is not null")
+    limits = judged.groupBy("scale").agg(F.percentile_approx(F.exp("loss"), quantile, 100_000).alias("threshold"))
+    own = scored if folds == 1 else scored.where((F.col("scale") == F.col("lang")) | ~F.col("lang").isin(known))
+    own = own.groupBy("doc_id", "lang", "text_md5", "scale").agg(F.max("rows").alias("rows"), F.max("n").alias("n"), F.exp(F.avg("loss")).alias("perplexity"))
+    out = own.join(limits, "scale", "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     out = out.select(
         "doc_id", F.when(F.col("lang") != "\0", F.col("lang")).alias("lang"), (F.col("n") / F.col("rows")).cast("bigint").alias("n_bytes"), "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"),

@@ -68,7 +68,7 @@ def op6_cover_tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneser.perplexities(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return kneser.perplexities(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), quantile=0.95, folds=2)
 
 
 @query

@@ -253,6 +253,28 @@ def test_perplexity_equals_the_definition(spark, shard_rows):
     assert not next(r for r in got if r.doc_id == 100).kept
 
 
+def test_two_folds_judge_each_half_by_the_other(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 12), "en", "s", 0, 1, "", "", 1) for i in range(24)]
+    rows += [(100, "QQ!! ZZ## ##", "en", "s", 0, 1, "", "", 1), (101, "", "en", "s", 0, 1, "", "", 1), (102, "QQ!! ZZ## ##", "xx", "s", 0, 1, "", "", 1), (103, rows[0][1], None, "s", 0, 1, "", "", 1)]
+    rows.append(rows[3])
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(24)] + [(100, 0, 0)], LABELS)
+    got = kneser.perplexities(spark, documents(spark, rows), labels, quantile=0.9, folds=2).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows)
+    half = lambda i: zlib.crc32(str(i).encode()) % 2
+    train = [[r[1].encode() for r in rows if r[0] < 24 and half(r[0]) == x] for x in (0, 1)]
+    by = {r.doc_id: r for r in got}
+    for i, text, *_ in rows:
+        if i == 101:
+            assert by[i].perplexity is None and by[i].kept
+            continue
+        models = [1 - half(i)] if i < 24 else [0, 1]
+        want = math.exp(sum(math.log(brute_kneser(train[x], text.encode())) for x in models) / len(models))
+        assert math.isclose(by[i].perplexity, want, rel_tol=1e-4) and by[i].n_bytes == len(text.encode())
+    assert {r.threshold for r in got} == {sorted(by[i].perplexity for i in range(24))[21]}
+    assert not by[100].kept and not by[102].kept and by[103].kept
+
+
 @pytest.mark.parametrize(
     ("html", "text"),
     [

@@ -51,6 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 @contextmanager
 def settings(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
     before = {k: spark.conf.get(k, None) for k in conf}

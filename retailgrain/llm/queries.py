@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm import ann, covertree, htmltext, jaccard, kneser, lines, mixing, packing, sharding, toxicity
+from retailgrain.llm import ann, conversations, covertree, hardneg, htmltext, jaccard, kneser, langid, lines, mixing, packing, sharding, toxicity
 from retailgrain.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,24 @@ def op7_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op11_hilbert_zone_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_banded_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return conversations.repair(spark, conversations.damaged(given), given.select("conv_id"))
+
+
+@query
+def op13_byte_convolution_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    read = langid.predict(docs.select("doc_id", "text"), langid.fit(spark, docs))
+    return read.select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 _REACHED = """
 both_ways AS (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links),
 reach(node, other) AS (SELECT DISTINCT x, x FROM both_ways UNION SELECT r.node, l.y FROM reach r JOIN both_ways l ON r.other = l.x),
@@ -102,3 +120,16 @@ links AS (SELECT p.doc_id AS a, q.doc_id AS b FROM one p JOIN one q ON p.g = q.g
   GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
 {_REACHED}
 SELECT doc_id, len(s) AS n_shingles, coalesce(component, doc_id) AS component_id FROM sets LEFT JOIN found ON doc_id = node"""
+
+SQL["op11_hilbert_zone_negatives"] = """
+WITH able AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+    [floor(256 * x::DOUBLE) for x in embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.l = c.l AS same, c.vec_id, list_dot_product(a.q, c.q)::BIGINT AS s
+  FROM able a JOIN able c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+first AS (SELECT anchor_id, vec_id, s FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.s DESC, n.vec_id) AS rank,
+  n.vec_id AS negative_id, p.s AS positive_score, n.s AS negative_score
+FROM first p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same AND 50 * p.s <= 100 * n.s AND 100 * n.s <= 95 * p.s
+QUALIFY rank <= 3"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from retailgrain.operators.skew import attach_group_totals, never_null
 
 
 def map_lookup(df: DataFrame, column: str, mapping: DataFrame, source: str, target: str) -> DataFrame:
@@ -19,27 +21,45 @@ def map_lookup(df: DataFrame, column: str, mapping: DataFrame, source: str, targ
 
 
 def full_outer_match(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, side: str = "side"
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, side: str = "side", chunk: int = 100_000
 ) -> DataFrame:
-    """Full outer equi-join that keeps both key columns and says where a row came from.
+    """Full outer equi-join that keeps both key columns and says where a row came from: ``both``, ``left`` or ``right``.
 
-    Built from an inner join and two anti joins: unlike a full outer join, each of
-    them lets Spark split a hot key over several tasks, and rows without a key
-    skip the shuffle altogether. ``side`` is ``both``, ``left`` or ``right``.
+    Both sides are read once, as one tagged union. ``attach_group_totals`` tells each row how many rows of either side have its
+    key, without gathering a hot key in one task. Rows that nobody matches are done. The others meet by key; where the
+    larger side of a key has more than ``chunk`` rows, it is cut into parts and the smaller side goes to each of them.
     """
-    with_left = left.where(F.col(left_key).isNotNull())
-    with_right = right.where(F.col(right_key).isNotNull())
-    left_keys = with_left.select(F.col(left_key).alias("_lk")).distinct()
-    right_keys = with_right.select(F.col(right_key).alias("_rk")).distinct()
-
-    matched = with_left.join(with_right, F.col(left_key) == F.col(right_key)).withColumn(side, F.lit("both"))
-    left_only = with_left.join(right_keys, F.col(left_key) == F.col("_rk"), "left_anti")
-    right_only = with_right.join(left_keys, F.col(right_key) == F.col("_lk"), "left_anti")
-    left_rest = left_only.unionByName(left.where(F.col(left_key).isNull())).withColumn(side, F.lit("left"))
-    right_rest = right_only.unionByName(right.where(F.col(right_key).isNull())).withColumn(side, F.lit("right"))
-    return matched.unionByName(left_rest, allowMissingColumns=True).unionByName(
-        right_rest, allowMissingColumns=True
+    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nothing = lambda df: F.lit(None).cast(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]))
+
+    def tagged(df: DataFrame, key: str, *sides: Column) -> DataFrame:
+        known = F.col(key).isNotNull().alias("_known")
+        return df.select(never_null(df, key).alias("_k"), known, *[c.alias(name) for c, name in zip(sides, ("_l", "_r"))])
+
+    rows = tagged(left, left_key, F.struct(*left.columns), nothing(right)).unionAll(
+        tagged(right, right_key, nothing(left), F.struct(*right.columns))
     )
+    one = lambda c: F.when(F.col("_known") & F.col(c).isNotNull(), 1).otherwise(0)
+    counted = attach_group_totals(rows, ["_k"], {"_nl": one("_l"), "_nr": one("_r")}, n)
+    on_left = F.col("_r").isNull()
+    # How many rows of the other side have the key, below 0 on the right.
+    others = F.when(~F.col("_known"), F.lit(0)).when(on_left, F.col("_nr")).otherwise(-F.col("_nl"))
+    # Up to four parts a partition, as their places are drawn by hash.
+    parts = F.least(F.ceil(F.greatest("_nl", "_nr") / chunk), F.lit(4 * n)).cast("int")
+    is_cut = F.when(on_left, F.col("_nl") >= F.col("_nr")).otherwise(F.col("_nl") < F.col("_nr"))
+    own = F.pmod(F.xxhash64("_l", "_r"), F.when(others != 0, F.greatest(parts, F.lit(1))).otherwise(F.lit(n))).cast("int")
+    copies = F.when((others != 0) & ~is_cut & (parts > 1), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(-1)))
+    placed = counted.withColumn("_copy", F.explode(copies))
+    part = F.coalesce(F.when(F.col("_copy") >= 0, F.col("_copy")).otherwise(own), F.lit(0))
+    # The three uses share one exchange: a test that is not deterministic is not pushed below it.
+    here = F.when(F.monotonically_increasing_id() >= 0, others)
+    moved = placed.repartition(n, "_k", part).select("*", part.alias("_at"), here.alias("_others"))
+
+    a = moved.where("_others > 0").select(F.col("_k").alias("_ka"), F.col("_at").alias("_pa"), "_l")
+    b = moved.where("_others < 0").select(F.col("_k").alias("_kb"), F.col("_at").alias("_pb"), "_r")
+    both = a.join(b, (F.col("_ka") == F.col("_kb")) & (F.col("_pa") == F.col("_pb"))).select("_l", "_r", F.lit("both").alias(side))
+    alone = moved.where("_others = 0").select("_l", "_r", F.when(on_left, "left").otherwise("right").alias(side))
+    return both.unionAll(alone).select("_l.*", "_r.*", side)
 
 
 def densify(

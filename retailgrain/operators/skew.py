@@ -2,44 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def _spread(df: DataFrame, buckets: int | None) -> int:
     return buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def attach_group_total(
-    df: DataFrame, keys: list[str], value: str, out: str, buckets: int | None = None
-) -> DataFrame:
-    """Add the sum of ``value`` over all rows with the same keys to every row.
+# Stands for NULL in a key that is compared; rows with a NULL key add nothing to it.
+_NOTHING = {T.StringType: "", T.BooleanType: False, T.DateType: dt.date(1970, 1, 1), T.TimestampType: dt.datetime(1970, 1, 1)}
+
+
+def never_null(df: DataFrame, key: str) -> Column:
+    """A key that can be compared and moved without Spark asking whether it is NULL."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.NumericType):
+        return F.coalesce(F.col(key), F.lit(0).cast(kind))
+    if type(kind) in _NOTHING:
+        return F.coalesce(F.col(key), F.lit(_NOTHING[type(kind)]).cast(kind))
+    return F.struct(key)
 
-    A window over the keys would sort a hot key in one task. Here each row gets a
-    sub-key from its remaining columns, sums are taken per (key, sub-key), added
-    up per key over at most ``buckets`` rows, and joined back on (key, sub-key),
-    so a hot key is spread over as many tasks as there are shuffle partitions and
-    nothing is replicated for the others. NULL keys get NULL. Equal rows share a
+
+def attach_group_totals(df: DataFrame, keys: list[str], sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
+    """Add sums over all rows with the same keys to every row, each under its name in ``sums``.
+
+    A window over the keys would sort a hot key in one task. Here each row gets a sub-key from a hash of the whole row and is
+    moved once, by key and sub-key, so a hot key is spread over as many tasks as there are shuffle partitions. The same
+    exchange serves both uses of the rows: sums per (key, sub-key) are taken where the rows lie, added up per
+    key over at most ``buckets`` narrow rows, and joined back. NULL keys get NULL. Equal rows share a
     sub-key: aggregate copies first, or leave them to the skew join.
     """
     n = _spread(df, buckets)
-    rest = [c for c in df.columns if c not in keys]
-    salted = df.withColumn("_sub", F.pmod(F.xxhash64(*rest), F.lit(n)).cast("int"))
-    per_sub = salted.groupBy(*keys, "_sub").agg(F.sum(value).alias("_part"))
-    totals = per_sub.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
-        F.col("_sub").alias("_total_sub"),
-        F.sum("_part").over(Window.partitionBy(*keys)).alias("_total"),
-    )
-    # Both uses of ``df`` must stay the same plan, so that Spark computes it once and
-    # reuses its exchange: every column is hashed, and the null-safe comparison
-    # keeps Spark from filtering NULL keys out of one of them.
-    same = F.col("_sub") == F.col("_total_sub")
+    # The sub-key is computed above the exchange from all columns and no key can be NULL, so Spark neither prunes columns
+    # nor pushes a filter into one of the uses, which would make them two exchanges.
+    names = [f"_key{i}" for i in range(len(keys))]
+    sub = F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+    moved = df.withColumns({name: never_null(df, k) for name, k in zip(names, keys)}).repartition(n, *names, sub)
+    rows = moved.withColumn("_sub", sub)
     known = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    for k in keys:
         known = known & F.col(k).isNotNull()
-    joined = salted.join(totals, same, "left")
-    return joined.select(*df.columns, F.when(known, F.col("_total")).alias(out))
+    per_sub = rows.groupBy(*names, "_sub").agg(*[F.sum(F.when(known, value)).alias(f"_part_{out}") for out, value in sums.items()])
+    by_key = Window.partitionBy(*names)
+    totals = per_sub.select(
+        *[F.col(name).alias(f"{name}_") for name in names],
+        F.col("_sub").alias("_sub_"),
+        *[F.sum(f"_part_{out}").over(by_key).alias(f"_total_{out}") for out in sums],
+    )
+    same = F.col("_sub") == F.col("_sub_")
+    for name in names:
+        same = same & (F.col(name) == F.col(f"{name}_"))
+    joined = rows.join(totals, same, "left")
+    return joined.select(*df.columns, *[F.when(known, F.col(f"_total_{out}")).alias(out) for out in sums])
+
+
+def attach_group_total(df: DataFrame, keys: list[str], value: str, out: str, buckets: int | None = None) -> DataFrame:
+    """``attach_group_totals`` of one column."""
+    return attach_group_totals(df, keys, {out: F.col(value)}, buckets)
 
 
 def collapse_copies(df: DataFrame, count_col: str = "copies", negative: Column | None = None) -> DataFrame:

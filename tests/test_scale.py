@@ -205,13 +205,56 @@ def final_plan(df) -> str:
     return plan(df).split("== Initial Plan ==")[0]
 
 
+def largest_share(df) -> float:
+    """Of all rows, those that one task emits at most."""
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
 def test_full_outer_match_splits_a_hot_key(spark, eager_skew):
     left = hot_side(spark, 6000, "lk", "lv")
     right = spark.range(5, 500).select(F.col("id").alias("rk"), F.sha1(F.col("id").cast("string")).alias("rv"))
-    matched = full_outer_match(left, right, "lk", "rk")
-    assert "skew=true" in final_plan(matched)
+    matched = full_outer_match(left, right, "lk", "rk", chunk=200)
     plain = left.join(right, F.col("lk") == F.col("rk"), "full_outer")
     assert rows_of(matched.drop("side")) == rows_of(plain)
+    assert largest_share(matched.where("lk = 7 and side = 'both'")) < 0.4
+    assert largest_share(full_outer_match(left, right, "lk", "rk").where("lk = 7 and side = 'both'")) == 1.0  # within one chunk
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 100_000])
+def test_full_outer_match_where_both_sides_are_hot(spark, chunk):
+    left = spark.range(120).select(F.when(F.col("id") < 90, "hot").when(F.col("id") < 100, None).otherwise(F.col("id").cast("string")).alias("a"), F.col("id").alias("x"))
+    right = spark.range(200).select(F.when(F.col("id") < 50, "hot").when(F.col("id") < 60, None).otherwise(F.col("id").cast("string")).alias("b"), (F.col("id") % 60).alias("y"))
+    plain = left.join(right, F.col("a") == F.col("b"), "full_outer")
+    assert rows_of(full_outer_match(left, right, "a", "b", chunk=chunk).drop("side")) == rows_of(plain)
+    assert rows_of(full_outer_match(right, left, "b", "a", chunk=chunk).drop("side")) == rows_of(plain.select("b", "y", "a", "x"))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "date", "timestamp", "boolean", "string", "decimal(10,2)"])
+def test_totals_by_keys_of_any_type(spark, kind):
+    """What stands for NULL is a key of its own, too."""
+    text = {"date": "1970-01-0{}", "timestamp": "1970-01-0{} 00:00:00", "boolean": "false"}.get(kind, "{}")
+    df = spark.createDataFrame([(text.format(i % 3 + (kind == "date" or kind == "timestamp")) if i % 4 else None, i) for i in range(40)], "k string, i int")
+    df = df.withColumn("k", F.coalesce("k", F.lit(None)).cast(kind))
+    window = df.withColumn("t", F.when(F.col("k").isNotNull(), F.sum("i").over(Window.partitionBy("k"))))
+    assert rows_of(attach_group_total(df, ["k"], "i", "t")) == rows_of(window)
+
+
+def scans(df) -> dict[str, int]:
+    text = final_plan(df)
+    return {name: text.count(f"/{name}.parquet") for name in ("lineitem", "part", "orders") if f"/{name}.parquet" in text}
+
+
+@pytest.mark.parametrize("name", ["join_full_outer", "report_stock_recon"])
+def test_full_outer_match_reads_each_side_once(spark, sf_dir, eager_skew, name):
+    assert scans(CHECKS[name].query(spark, sf_dir)) == {"lineitem": 1, "part": 1}
+
+
+def test_group_count_moves_the_rows_once(spark, sf_dir, eager_skew):
+    df = CHECKS["join_group_count"].query(spark, sf_dir)
+    assert scans(df) == {"lineitem": 1}
+    wide = [line for line in final_plan(df).splitlines() if "REPARTITION_BY_NUM" in line and "ReusedExchange" not in line]
+    assert len(wide) == 1
 
 
 def test_order_lines_split_a_hot_header(spark, eager_skew):
@@ -236,17 +279,14 @@ def test_order_lines_split_a_hot_header(spark, eager_skew):
     assert counts["7"] == 4000 and sum(counts.values()) == 4000 + 1000
 
 
-def test_group_total_spreads_copies(spark, eager_skew):
-    """Equal rows share a sub-key; the skew join splits them."""
-    # Equal rows compress to almost nothing.
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
-    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2k")
+def test_group_total_of_copies(spark):
+    """Equal rows share a sub-key, so copies are combined first."""
     cold = F.col("id") % 300 == 0
     df = spark.range(0, 60000, 1, 8).select(
         F.when(cold, F.col("id")).otherwise(7).alias("k"),
         F.when(cold, F.col("id") % 5).otherwise(1).alias("v"),
-        F.when(cold, F.sha1(F.col("id").cast("string"))).otherwise("x" * 40).alias("pad"),
     )
-    total = attach_group_total(df, ["k"], "v", "t")
-    assert "skew=true" in final_plan(total)
+    one = collapse_copies(df).withColumn("w", F.col("v") * F.col("copies"))
+    total = expand_copies(attach_group_total(one, ["k"], "w", "t").drop("w"))
     assert total.where("k = 7").agg(F.min("t"), F.max("t"), F.count("t")).first()[:] == (59800, 59800, 59800)
+    assert total.count() == 60000

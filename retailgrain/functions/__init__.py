@@ -8,12 +8,14 @@ from retailgrain.functions.dates import (
 )
 from retailgrain.functions.matching import bucket, city_group, first_substring, metric_condition, shop_condition
 from retailgrain.functions.numbers import (
-    exact_amount,
+    amount_parts,
+    exact_sum,
     half_even_int,
     null_default,
     safe_ratio,
     safe_ratio_pct,
     sum_or_zero,
+    total_of_parts,
     trunc_int,
 )
 from retailgrain.functions.text import (
@@ -27,10 +29,11 @@ from retailgrain.functions.text import (
 )
 
 __all__ = [
+    "amount_parts",
     "bucket",
     "city_group",
     "clean_text",
-    "exact_amount",
+    "exact_sum",
     "first_substring",
     "fix_address_spacing",
     "half_even_int",
@@ -47,6 +50,7 @@ __all__ = [
     "str_contains",
     "str_normalize",
     "sum_or_zero",
+    "total_of_parts",
     "trunc_int",
     "week_label",
     "week_start",

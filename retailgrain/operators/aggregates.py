@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retailgrain.functions.numbers import exact_amount, sum_or_zero
+from retailgrain.functions.numbers import exact_sum, sum_or_zero
 from retailgrain.operators.filters import drop_null_keys
 
 
@@ -24,8 +24,8 @@ def group_count(df: DataFrame, keys: Sequence[str], counted: str, out: str = "li
 
 
 def money_sum(value: Column) -> Column:
-    """Exact money sum, returned as a double."""
-    return sum_or_zero(exact_amount(value)).cast("double")
+    """Exact money sum, returned as a double, 0 without amounts; an error where amounts do not fit (see ``exact_sum``)."""
+    return F.coalesce(exact_sum(value), F.lit(0)).cast("double")
 
 
 def conditional_sums(conditions: Mapping[str, Column], value: Column) -> list[Column]:

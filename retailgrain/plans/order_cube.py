@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from retailgrain.functions import bucket, exact_amount
+from retailgrain.functions import amount_parts, bucket, total_of_parts
 from retailgrain.operators.filters import all_present
 from retailgrain.operators.rule_joins import tag_by_rules
 from retailgrain.operators.windows import weigh_order_groups
@@ -37,19 +37,22 @@ def order_cube(
         "price_bucket": bucket(F.col("price"), price_bounds),
         "quantity_bucket": bucket(F.col("line_count"), quantity_bounds, QUANTITY_OTHER),
     })
+    # Exact sums travel as 64-bit parts; only a cell's total becomes a decimal.
+    money = {"price": "price", "line_total": "total"}
+    sums = [part.alias(f"{name}_{i}") for column, name in money.items() for i, part in enumerate(amount_parts(F.col(column)))]
     per_order = tagged.groupBy("order_no", "week_start", *CUBE_DIMS).agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(exact_amount(F.col("price"))).alias("price_sum"),
         F.sum("line_count").alias("line_count"),
-        F.sum(exact_amount(F.col("line_total"))).alias("total_sum"),
+        *sums,
         all_present(CUBE_DIMS).alias("complete"),
     )
     cells = weigh_order_groups(per_order, "order_no").where("complete")
+    total = {name: total_of_parts(*[F.sum(f"{name}_{i}") for i in range(3)]).cast("double") for name in money.values()}
     return cells.groupBy("week_start", *CUBE_DIMS).agg(
-        (F.sum("price_sum").cast("double") / F.sum("row_count")).alias("mean_price"),
+        (total["price"] / F.sum("row_count")).alias("mean_price"),
         F.sum("line_count").alias("line_count"),
         (F.sum("whole_orders") + F.sum("part_weight")).alias("order_weight"),
-        F.sum("total_sum").cast("double").alias("line_total"),
+        total["total"].alias("line_total"),
     )
 
 

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from retailgrain.functions import city_group, exact_amount, safe_ratio_pct, sum_or_zero
+from retailgrain.functions import city_group, exact_sum, safe_ratio_pct, sum_or_zero
 from retailgrain.operators.aggregates import Scope, scope_sums
 from retailgrain.operators.reshape import metrics_to_rows
 from retailgrain.operators.yoy import (
@@ -42,14 +42,15 @@ class SalesScopes:
 def fact_sums(facts: DataFrame) -> DataFrame:
     """Nine sums per month, region, company, channel and shop.
 
-    Revenue and visitors are added up exactly; only the sum is rounded, half away from zero.
+    Revenue and visitors are added up exactly; only the sum is rounded, half away from zero. Amounts that
+    cannot be added up exactly (NaN, infinite, beyond 64 bits) fail the query.
     """
 
     def total(metric: str):
         if metric.endswith("checkout"):
             value = F.sum(metric)
         else:
-            value = F.round(F.sum(exact_amount(F.col(metric))), 0)
+            value = F.round(exact_sum(F.col(metric)), 0)
         return value.cast("bigint").alias(metric)
 
     return facts.groupBy(*FACT_KEYS).agg(*[total(m) for m in SUM_METRICS])

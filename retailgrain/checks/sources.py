@@ -90,10 +90,10 @@ def src_rules(spark, sf):
     return joined.groupBy("metric", "status").agg(F.count(F.lit(1)).alias("orders"))
 
 
-def _new_table(spark, schema: T.StructType, name: str) -> str:
+def _new_table(spark, schema: T.StructType, name: str, partitioned_by: tuple[str, ...] = ()) -> str:
     """One name for each query, so that runs do not pile up tables."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    sources.create_table(spark, name, schema, shared_dir(spark, "table"))
+    sources.create_table(spark, name, schema, shared_dir(spark, "table"), partitioned_by)
     return name
 
 
@@ -133,6 +133,27 @@ def sink_delete_matching(spark, sf):
     return spark.table(name)
 
 
+@check("sink_delete_partitioned", """
+SELECT o_orderkey, NULL::VARCHAR AS status, o_orderpriority AS priority FROM orders WHERE o_orderstatus = 'P'""")
+def sink_delete_partitioned(spark, sf):
+    """A partitioned table is switched to its new folder in one step, too."""
+    orders = s.table(spark, sf, "orders")
+    rows = orders.select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.col("o_orderpriority").alias("priority"))
+    name = _new_table(spark, rows.schema, "rg_sink_delete_partitioned", ("priority",))
+    sources.append_rows(rows, name)
+    sources.delete_not_null(spark, name, "status", shared_dir(spark, "table"))
+    return spark.table(name)
+
+
+@check("sink_replace_partitioned", "SELECT o_orderkey, o_custkey, o_orderpriority AS priority FROM orders WHERE o_orderpriority <> '1-URGENT'")
+def sink_replace_partitioned(spark, sf):
+    orders = s.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("priority"))
+    name = _new_table(spark, orders.schema, "rg_sink_replace_partitioned", ("priority",))
+    sources.append_rows(orders, name)
+    sources.replace_rows(orders.where("priority <> '1-URGENT'"), name)  # one partition less
+    return spark.table(name)
+
+
 @check("sink_replace", CUBE_TABLE_SQL)
 def sink_replace(spark, sf):
     name = _new_table(spark, cube_schema(), "rg_sink_replace")

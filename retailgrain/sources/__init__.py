@@ -13,6 +13,7 @@ from retailgrain.sources.sinks import (
     append_rows,
     create_table,
     delete_not_null,
+    publish_version,
     replace_rows,
     write_csv,
     write_recon_export,
@@ -27,6 +28,7 @@ __all__ = [
     "create_table",
     "delete_not_null",
     "invalidate_after",
+    "publish_version",
     "read_channel_sessions",
     "read_orders",
     "read_sales_facts",

@@ -67,6 +67,50 @@ def test_stock_files_are_read_by_name(spark, tmp_path):
     assert sorted((r.barcode, r.quantity) for r in typed.collect()) == [("1", 5.0), ("2", 7.0), ("3", None)]
 
 
+def test_quoted_headers_do_not_shift_columns(spark, tmp_path):
+    folder = tmp_path / "in put [1]"
+    drop(folder, "a.csv", 'barcode,"name, long",quantity\n1,"x, y",5\n')
+    drop(folder, "b {2}.csv", '\n"quan""tity" , barcode,"say \\"hi\\""\n6,2,z\n')
+    drop(folder, "c.csv", "")
+    drop(folder, "d.csv", "\ufeffquantity,barcode,barcode\n7,3,4\n")
+    rows = sources.read_stock_files(spark, str(folder).replace("[", "\\[").replace("]", "\\]"))
+    assert {"barcode", "name, long", "quantity", 'say "hi"'} <= set(rows.columns)
+    got = sorted((r.barcode, r["name, long"], r.quantity, r['say "hi"']) for r in rows.collect())
+    assert got == [("1", "x, y", "5", None), ("2", None, None, "z"), ("3", None, "7", None)]
+
+
+def test_each_stock_file_is_scanned_once(spark, tmp_path):
+    for i in range(6):
+        drop(tmp_path / "in", f"{i}.csv", ("barcode,quantity\n" if i % 2 else "quantity,barcode\n") + "1,2\n" * 500)
+    rows = sources.read_stock_files(spark, str(tmp_path / "in"), sources.STOCK_SCHEMA)
+    rows.collect()
+    files = [len(f.split(",")) for f in __import__("re").findall(r"paths\)\[(.*?)\]", rows._jdf.queryExecution().executedPlan().toString())]
+    assert rows.count() == 3000 and len(rows.inputFiles()) == 6
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 2, files
+
+
+def test_heads_are_read_and_no_more(spark, tmp_path):
+    """A task stops after the first line: of a file of 20 MB it reads a small part."""
+    from retailgrain.sources.readers import stock_layouts
+
+    drop(tmp_path / "in", "big.csv", "barcode,quantity\n" + "1234567890,12\n" * 1_500_000)
+    drop(tmp_path / "in", "small.csv", "quantity,barcode\n1,2\n")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    bytes_before = read_bytes(spark)
+    layouts = stock_layouts(spark, str(tmp_path / "in"))
+    assert {layout.names for layout in layouts} == {("barcode", "quantity"), ("quantity", "barcode")}
+    assert read_bytes(spark) - bytes_before < 2_000_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def read_bytes(spark) -> int:
+    """Bytes that Hadoop's local file system has read in this process."""
+    total = 0
+    for stats in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics():
+        total += stats.getBytesRead()
+    return total
+
+
 def test_recon_export_without_rows(spark, tmp_path):
     path = str(tmp_path / "out")
     sources.write_recon_export(spark.range(0), path, "nothing")
@@ -93,6 +137,43 @@ def test_table_round(spark):
     spark.sql("DROP TABLE rg_round")
 
 
+@pytest.mark.parametrize("parts", [(), ("p",)])
+def test_a_failure_before_the_switch_leaves_the_old_rows(spark, parts, monkeypatch):
+    from retailgrain.sources import sinks
+
+    spark.sql("DROP TABLE IF EXISTS rg_switch")
+    rows = spark.createDataFrame([(1, "x", 1), (2, None, 1), (3, "y", 2), (4, None, 3)], "a bigint, b string, p int")
+    sources.create_table(spark, "rg_switch", rows.schema, shared_dir(spark, "switch"), parts)
+    sources.append_rows(rows, "rg_switch")
+    old = sorted(map(tuple, spark.table("rg_switch").collect()))
+    reader = spark.table("rg_switch")
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "_switch", fail)
+        for change in (lambda: sources.delete_not_null(spark, "rg_switch", "b", shared_dir(spark, "rest")), lambda: sources.replace_rows(rows.limit(1), "rg_switch")):
+            with pytest.raises(RuntimeError):
+                change()
+            assert sorted(map(tuple, spark.table("rg_switch").collect())) == old
+    sources.delete_not_null(spark, "rg_switch", "b", shared_dir(spark, "rest"))
+    assert sorted(map(tuple, spark.table("rg_switch").collect())) == [(2, None, 1), (4, None, 3)]
+    assert sorted(map(tuple, reader.collect())) == old  # who began before the switch ends with the old rows
+    sources.append_rows(rows.where("a = 3"), "rg_switch")
+    sources.replace_rows(spark.createDataFrame([(9, "z", 7)], rows.schema), "rg_switch")
+    assert [tuple(r) for r in spark.table("rg_switch").collect()] == [(9, "z", 7)]
+    spark.sql("DROP TABLE rg_switch")
+
+
+def test_tables_with_listed_partitions_are_not_switched(spark):
+    spark.sql("DROP TABLE IF EXISTS rg_listed")
+    spark.sql(f"CREATE TABLE rg_listed (a bigint, p int) USING parquet PARTITIONED BY (p) LOCATION '{shared_dir(spark, 'listed')}'")
+    with pytest.raises(ValueError):
+        sources.publish_version(spark.createDataFrame([(1, 1)], "a bigint, p int"), "rg_listed")
+    spark.sql("DROP TABLE rg_listed")
+
+
 def test_partitioned_table_round(spark):
     spark.sql("DROP TABLE IF EXISTS rg_parts")
     location = shared_dir(spark, "parts")
@@ -115,6 +196,37 @@ def test_amounts_are_rounded_after_the_sum(spark):
     assert amounts.agg(money_sum(F.col("v"))).first()[0] == 4.0
 
 
+def test_exact_sums_of_large_small_and_negative_amounts(spark):
+    from decimal import Decimal
+
+    from retailgrain.functions import exact_sum
+
+    values = [0.1] * 10 + [1e15, -1e15, 123456789.25, -0.000001, -2.675, 4503599627370497.0, 1e18, None, 0.0000005, -0.0000005]
+    got = spark.createDataFrame([(v,) for v in values], "v double").agg(exact_sum(F.col("v"))).first()[0]
+    rounded = lambda v: Decimal(repr(v)).quantize(Decimal("0.000001"), "ROUND_HALF_UP")
+    assert got == sum(rounded(v) for v in values if v is not None)
+    decimals = spark.createDataFrame([(Decimal("12345678901234567.89"),), (Decimal("0.01"),)], "v decimal(20,2)")
+    assert decimals.agg(exact_sum(F.col("v"))).first()[0] == Decimal("12345678901234567.90")
+    assert spark.range(3).agg(exact_sum(F.when(F.col("id") > 9, 1.0))).first()[0] is None
+    assert spark.range(4).agg(exact_sum(F.col("id"))).first()[0] == 6
+
+
+@pytest.mark.parametrize("odd", [1e23, float("nan"), float("inf"), -1e19])
+def test_amounts_that_do_not_fit_are_refused(spark, odd):
+    from pyspark.errors import PySparkException
+
+    from retailgrain.functions import amount_parts, exact_sum
+    from retailgrain.plans import fact_sums
+
+    amounts = spark.createDataFrame([(1.5,), (odd,), (None,), (2.25,)], "v double")
+    assert tuple(amounts.agg(*[p.alias(f"p{i}") for i, p in enumerate(amount_parts(F.col("v")))]).first()) == (3, 750_000, 1)
+    with pytest.raises(PySparkException, match="1 amounts are not finite"):
+        amounts.agg(exact_sum(F.col("v"))).collect()
+    facts = spark.createDataFrame([(None, 6, "r", "A", "c", "s", *[odd] * 9)], sources.readers.SALES_FACT_SCHEMA)
+    with pytest.raises(PySparkException, match="not finite"):
+        fact_sums(facts.withColumn("year0_checkout", F.lit(1.0)).withColumn("year0_minus_1_checkout", F.lit(1.0)).withColumn("year0_minus_2_checkout", F.lit(1.0))).collect()
+
+
 def test_map_of_many_keys_plans_no_job(spark):
     from retailgrain.operators.reshape import keyed_map
 

@@ -16,6 +16,43 @@ HEADER = ("company_id", "order_no", "order_date", "order_status", "payment_statu
 DETAIL = ("header_id", "product_id", "supplier_article_id", "price", "guarantee")
 
 
+LINE_KEYS = (*HEADER, "delivery", "product_name", "supplier_article_id", "price", "guarantee")
+
+
+def delivered_headers(headers: DataFrame, deliveries: DataFrame, extra_header_columns: Sequence[str] = ()) -> DataFrame:
+    """Headers with the name of their delivery method, which belongs to the header and is joined before lines multiply it."""
+    wanted = headers.select(F.col("id").alias("header_id"), "delivery_type", *HEADER, *extra_header_columns)
+    methods = deliveries.select(
+        F.col("oxid").alias("delivery_type"),
+        F.col("trade_network_id").alias("company_id"),
+        F.col("descr").alias("delivery"),
+    )
+    return wanted.join(methods, ["delivery_type", "company_id"], "left")
+
+
+def detail_rows(details: DataFrame) -> DataFrame:
+    return details.select(*DETAIL, F.col("id").isNotNull().cast("bigint").alias("_n"))
+
+
+def paired(delivered: DataFrame, rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Each detail with its header and its product's name."""
+    named = products.select(F.col("id").alias("product_id"), F.col("descr").alias("product_name"))
+    return rows.join(delivered, "header_id").join(named, "product_id", "left")
+
+
+def described(lines: DataFrame) -> DataFrame:
+    """Distinct lines with the columns that the reports cut them by."""
+    return lines.withColumns({
+        "channel": channel_of(F.col("company_id")),
+        "address": join_nullable(F.col("street"), F.col("country")),
+        "product": F.coalesce("product_name", "supplier_article_id"),
+        "week_start": week_start(F.col("order_date")),
+        "iso_week": iso_week(F.col("order_date")),
+        "week_label": week_label(F.col("order_date")),
+        "line_total": F.col("price") * F.col("line_count"),
+    })
+
+
 def order_lines(
     headers: DataFrame,
     details: DataFrame,
@@ -36,33 +73,10 @@ def order_lines(
     ``collapse_first`` also combines them before the join: one more shuffle, worth it
     when the details hold many copies.
     """
-    header_columns = [*HEADER, *extra_header_columns]
     wanted = date_range(headers, "order_date", start, end, closed)
     if exclude_status is not None:
         wanted = wanted.where(not_equal_keep_null(F.col("order_status"), exclude_status))
-    wanted = wanted.select(F.col("id").alias("header_id"), "delivery_type", *header_columns)
-
-    if collapse_first:
-        counted = details.groupBy(*DETAIL).agg(F.count("id").alias("_n"))
-    else:
-        counted = details.select(*DETAIL, F.col("id").isNotNull().cast("bigint").alias("_n"))
-    named = products.select(F.col("id").alias("product_id"), F.col("descr").alias("product_name"))
-    methods = deliveries.select(
-        F.col("oxid").alias("delivery_type"),
-        F.col("trade_network_id").alias("company_id"),
-        F.col("descr").alias("delivery"),
-    )
-    # The delivery name belongs to the header, so it is joined before the lines multiply it.
-    delivered = wanted.join(methods, ["delivery_type", "company_id"], "left")
-    joined = counted.join(delivered, "header_id").join(named, "product_id", "left")
-    keys = [*header_columns, "delivery", "product_name", "supplier_article_id", "price", "guarantee"]
-    lines = joined.groupBy(*keys).agg(F.sum("_n").alias("line_count"))
-    return lines.withColumns({
-        "channel": channel_of(F.col("company_id")),
-        "address": join_nullable(F.col("street"), F.col("country")),
-        "product": F.coalesce("product_name", "supplier_article_id"),
-        "week_start": week_start(F.col("order_date")),
-        "iso_week": iso_week(F.col("order_date")),
-        "week_label": week_label(F.col("order_date")),
-        "line_total": F.col("price") * F.col("line_count"),
-    })
+    delivered = delivered_headers(wanted, deliveries, extra_header_columns)
+    rows = details.groupBy(*DETAIL).agg(F.count("id").alias("_n")) if collapse_first else detail_rows(details)
+    keys = [*HEADER, *extra_header_columns, *LINE_KEYS[len(HEADER):]]
+    return described(paired(delivered, rows, products).groupBy(*keys).agg(F.sum("_n").alias("line_count")))

@@ -20,18 +20,22 @@ from retailgrain.rules.tables import MetricRule, ShopRule
 DETAIL_DIMS = ["week_start", "is_weekend", "address", "order_status", "channel", "delivery"]
 
 
-def order_groups(lines: DataFrame, first_weekend_day: int = FRIDAY) -> DataFrame:
-    """Lines combined per order and report dimensions, with order weights."""
+def dimension_groups(lines: DataFrame, first_weekend_day: int = FRIDAY, keys: Sequence[str] = ()) -> DataFrame:
+    """Lines combined per order and report dimensions, and per further keys."""
     dims = lines.withColumns({
         "address": fix_address_spacing(F.col("address")),
         "is_weekend": weekend_flag(F.col("order_date"), first_weekend_day),
     })
-    grouped = dims.groupBy("order_no", *DETAIL_DIMS).agg(
+    return dims.groupBy(*keys, "order_no", *DETAIL_DIMS).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.sum("line_count").alias("line_count"),
         all_present(DETAIL_DIMS).alias("complete"),
     )
-    return weigh_order_groups(grouped, "order_no")
+
+
+def order_groups(lines: DataFrame, first_weekend_day: int = FRIDAY) -> DataFrame:
+    """``dimension_groups`` with order weights."""
+    return weigh_order_groups(dimension_groups(lines, first_weekend_day), "order_no")
 
 
 def detail_dims(groups: DataFrame) -> DataFrame:
@@ -71,16 +75,8 @@ def weekly_metrics(
     names = list(conditions)
     numbered = {f"m{i}": conditions[name] for i, name in enumerate(names)}
     groups = order_groups(lines, first_weekend_day)
-    periods = ["week_start", "is_weekend"]
     if counting == "group":
-        detail = detail_dims(groups).withColumn("_address", str_normalize(F.col("address")))
-        per_week = detail.groupBy(*periods).agg(*conditional_sums(numbered, F.col("orders")))
-        # The weekend rows are part of the week, so both follow from one grouped pass.
-        both = per_week.withColumn("period_kind", F.explode(F.lit(["week", "weekend"])))
-        belongs = (F.col("period_kind") == "week") | F.col("is_weekend")
-        sums = both.groupBy("week_start", "period_kind").agg(
-            *[F.sum(F.when(belongs, F.col(m)).otherwise(0)).alias(m) for m in numbered]
-        )
+        sums = _period_sums(detail_dims(groups), numbered)
     elif counting == "distinct":
         rows = groups.where(F.col("complete") & F.col("order_no").isNotNull())
         rows = rows.withColumn("_address", str_normalize(F.col("address")))
@@ -92,7 +88,35 @@ def weekly_metrics(
         sums = per_order.groupBy("week_start", "period_kind").agg(*[F.count_if(F.col(m)).alias(m) for m in numbered])
     else:
         raise ValueError(f"unknown counting {counting!r}")
+    return _metric_rows(sums, names, first_weekend_day)
+
+
+def metrics_of_detail(
+    detail: DataFrame,
+    metric_rules: Sequence[MetricRule],
+    shop_rules: Sequence[ShopRule] = (),
+    pickup_deliveries: Sequence[str] = PICKUP_DELIVERIES,
+    first_weekend_day: int = FRIDAY,
+) -> DataFrame:
+    """``weekly_metrics`` from the rows of ``detail_dims``."""
+    conditions = _conditions(metric_rules, shop_rules, pickup_deliveries)
+    numbered = {f"m{i}": c for i, c in enumerate(conditions.values())}
+    return _metric_rows(_period_sums(detail, numbered), list(conditions), first_weekend_day)
+
+
+def _period_sums(detail: DataFrame, numbered: dict[str, Column]) -> DataFrame:
+    rows = detail.withColumn("_address", str_normalize(F.col("address")))
+    per_week = rows.groupBy("week_start", "is_weekend").agg(*conditional_sums(numbered, F.col("orders")))
+    # The weekend rows are part of the week, so both follow from one grouped pass.
+    both = per_week.withColumn("period_kind", F.explode(F.lit(["week", "weekend"])))
+    belongs = (F.col("period_kind") == "week") | F.col("is_weekend")
+    return both.groupBy("week_start", "period_kind").agg(
+        *[F.sum(F.when(belongs, F.col(m)).otherwise(0)).alias(m) for m in numbered]
+    )
+
 
+def _metric_rows(sums: DataFrame, names: Sequence[str], first_weekend_day: int) -> DataFrame:
+    numbered = [f"m{i}" for i in range(len(names))]
     pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(m).alias("value")) for n, m in zip(names, numbered)])
     label = F.when(F.col("period_kind") == "week", week_label(F.col("week_start"))).otherwise(
         weekend_label(F.col("week_start"), first_weekend_day)

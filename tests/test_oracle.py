@@ -1,4 +1,4 @@
-"""Every registered query against its SQL twin."""
+"""Every named query against its SQL twin."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import pytest
 from compare import connect, spark_rows, sql_rows
 
 import __spark_entry__ as entry
+from retailgrain.checks import CHECKS
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
@@ -15,7 +16,7 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(CHECKS))
 def test_same_rows(spark, sf_dir, con, name):
     got_columns, got = spark_rows(QUERIES[name](spark, sf_dir))
     want_columns, want = sql_rows(con, SQL[name])

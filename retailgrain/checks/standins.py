@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retailgrain.plans.order_lines import order_lines
 from retailgrain.plans.yoy_sales import SalesScopes
+from retailgrain.rules.fixed_values import city_rules, shop_rules
 from retailgrain.rules.tables import CityRule, ShopRule, local_table
 
 # The Mondays around all order dates of the test data.
@@ -87,7 +88,11 @@ headers AS (
     LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
 
-def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+# The listed shops and cities as the places that orders go to.
+PLACES = [f"{r.address}, {r.city}" for r in shop_rules()] + [f"{r.city} g.{r.ordinal}" for r in city_rules()]
+
+
+def headers(spark: SparkSession, sf_dir: str, places: list[str] | None = None) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     placed = (
@@ -111,7 +116,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("order_status"),
         status.alias("payment_status"),
         F.col("o_orderpriority").alias("delivery_type"),
-        F.concat("n_name", F.lit(" g."), (cust % 40).cast("string")).alias("street"),
+        (F.concat("n_name", F.lit(" g."), (cust % 40).cast("string")) if places is None else F.get(F.lit(places), (cust % len(places)).cast("int"))).alias("street"),
         F.when(F.col("n_nationkey") % 5 != 0, F.col("r_name")).alias("country"),
         F.lit(None).cast("string").alias("remark"),
     )
@@ -157,10 +162,10 @@ DELIVERIES_SQL = "deliveries(oxid, trade_network_id, descr) AS (VALUES " + ", ".
 ) + ")"
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All order lines of the test data."""
+def lines(spark: SparkSession, sf_dir: str, places: list[str] | None = None) -> DataFrame:
+    """All order lines of the test data, to the places given or to nations."""
     return order_lines(
-        headers(spark, sf_dir), details(spark, sf_dir), products(spark, sf_dir), deliveries(spark),
+        headers(spark, sf_dir, places), details(spark, sf_dir), products(spark, sf_dir), deliveries(spark),
         FIRST_MONDAY, LAST_MONDAY,
     )
 
@@ -187,6 +192,11 @@ lines AS (
     price * line_count AS line_total
   FROM grouped)"""
 
+PLACED_LINES_SQL = LINES_SQL.replace(
+    "n_name || ' g.' || CAST(o_custkey % 40 AS VARCHAR) AS street",
+    "[" + ", ".join(f"'{p}'" for p in PLACES) + f"][o_custkey % {len(PLACES)} + 1] AS street",
+)
+
 # ---- sales facts --------------------------------------------------------------------------------
 
 FACTS_SQL = """

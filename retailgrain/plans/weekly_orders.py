@@ -118,38 +118,62 @@ def _period_sums(detail: DataFrame, numbered: dict[str, Column]) -> DataFrame:
 def _metric_rows(sums: DataFrame, names: Sequence[str], first_weekend_day: int) -> DataFrame:
     numbered = [f"m{i}" for i in range(len(names))]
     pairs = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(m).alias("value")) for n, m in zip(names, numbered)])
-    label = F.when(F.col("period_kind") == "week", week_label(F.col("week_start"))).otherwise(
-        weekend_label(F.col("week_start"), first_weekend_day)
-    )
     return sums.select(
         "week_start",
         iso_week(F.col("week_start")).alias("iso_week"),
-        label.alias("label"),
+        _period_label(first_weekend_day).alias("label"),
         "period_kind",
         F.inline(pairs),
     )
 
 
+def _period_label(first_weekend_day: int) -> Column:
+    return F.when(F.col("period_kind") == "week", week_label(F.col("week_start"))).otherwise(
+        weekend_label(F.col("week_start"), first_weekend_day)
+    )
+
+
 def weekly_shop_metrics(
     lines: DataFrame,
     shop_rules: DataFrame,
     pickup_deliveries: Sequence[str] = PICKUP_DELIVERIES,
     first_weekend_day: int = FRIDAY,
 ) -> DataFrame:
-    """The shop part of ``weekly_metrics`` for a rule table of any length, matched by equi-joins.
-
-    Lists the weeks and shops that had orders; all others are 0.
-    """
+    """The shop part of ``weekly_metrics`` for a rule table of any length, matched by equi-joins: the same rows and columns, zeros too."""
     detail = detail_dims(order_groups(lines, first_weekend_day))
     picked_up = detail.where(pickup_condition(F.col("delivery"), pickup_deliveries))
     per_address = picked_up.groupBy("week_start", "is_weekend", str_normalize(F.col("address")).alias("subject")).agg(
         F.sum("orders").alias("orders")
     )
     labels = shop_rules.select("ordinal", F.concat("address", F.lit(", "), "city").alias("metric"))
-    pairs = shop_pairs_by_join(picked_up, "address", shop_rules).join(labels, "ordinal")
+    # Texts are matched once each; the sums per address are what joins the pairs.
+    pairs = shop_pairs_by_join(per_address, "subject", shop_rules).join(labels, "ordinal")
     kinds = F.when(F.col("is_weekend"), F.lit(["week", "weekend"])).otherwise(F.lit(["week"]))
-    tagged = per_address.join(pairs, "subject").withColumn("period_kind", F.explode(kinds))
-    return tagged.groupBy("week_start", "period_kind", "metric").agg(F.sum("orders").alias("value")).where("value <> 0")
+    tagged = per_address.join(pairs, "subject").select("week_start", F.explode(kinds).alias("period_kind"), "metric", "orders")
+    # Every shop in every week that has orders: the weeks are a short list, the rules may be many.
+    weeks = detail.agg(F.sort_array(F.collect_set("week_start")).alias("weeks"))
+    every = labels.select("metric", F.explode(weeks.scalar()).alias("week_start"))
+    zeros = every.select("week_start", F.explode(F.lit(["week", "weekend"])).alias("period_kind"), "metric", F.lit(0).cast("bigint").alias("orders"))
+    sums = tagged.unionByName(zeros).groupBy("week_start", "period_kind", "metric").agg(F.sum("orders").alias("value"))
+    label = _period_label(first_weekend_day)
+    return sums.select("week_start", iso_week(F.col("week_start")).alias("iso_week"), label.alias("label"), "period_kind", "metric", "value")
+
+
+def week_beside_weekend(metrics: DataFrame, first_weekend_day: int = FRIDAY) -> DataFrame:
+    """One row per week and metric: value and rounded % change of the week, and beside them those of its weekend.
+
+    Changes are against the previous week and the previous weekend; NULL for the first one.
+    """
+    changed = period_change(metrics, ["period_kind", "metric"], "week_start")
+    of = lambda kind, c: F.max(F.when(F.col("period_kind") == kind, F.col(c)))
+    rows = changed.groupBy("week_start", "iso_week", "metric").agg(
+        of("week", "value").alias("value"),
+        of("week", "pct_change").alias("pct_change"),
+        of("weekend", "value").alias("weekend_value"),
+        of("weekend", "pct_change").alias("weekend_pct_change"),
+    )
+    labels = {"label": week_label(F.col("week_start")), "weekend_label": weekend_label(F.col("week_start"), first_weekend_day)}
+    return rows.withColumns(labels)
 
 
 def weekly_table(metrics: DataFrame, names: Sequence[str], period_kind: str = "week") -> DataFrame:

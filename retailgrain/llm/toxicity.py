@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm.common import Steps
+from retailgrain.llm.common import Steps, spare
 from retailgrain.llm.sums import total
 from retailgrain.llm.textbytes import LOWER, U64, slices, utf8
 
 ORDERS = (4, 5, 6)
 BITS = 20
+PIECE = 1 << 17  # bytes looked at together
 # Letters of ASCII are lowered, bytes beyond ASCII kept, all else is a blank.
 FOLD = LOWER.copy()
 FOLD[:128][[not chr(i).isalpha() for i in range(128)]] = 0x20
@@ -48,12 +49,17 @@ def grams(data: np.ndarray, n: int) -> np.ndarray:
     return (code >> U64(64 - BITS)).view(np.int64)
 
 
-def held(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) pairs, each once, of the wanted features of many texts."""
+def coded(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each order with the hashes of its n-grams, by place."""
     data = FOLD[data]
-    rows, features = [], []
     for n in ORDERS:
-        code = grams(data, n)
+        yield n, grams(data, n)
+
+
+def held(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) pairs, each once, of the wanted features of many short texts."""
+    rows, features = [], []
+    for n, code in coded(data):
         at = np.flatnonzero(wanted[code])
         row = np.searchsorted(offsets, at, "right") - 1
         inside = at + n <= offsets[row + 1]
@@ -63,6 +69,27 @@ def held(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray) -> tuple[np.
     return pair >> BITS, pair & ((1 << BITS) - 1)
 
 
+def held_by_long(data: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The wanted features of one text of any length, marked in a map of all features, piece by piece."""
+    marked = np.zeros(1 << BITS, bool)
+    for i in range(0, len(data), PIECE):
+        for _, code in coded(data[i : i + PIECE + max(ORDERS) - 1]):
+            marked[code] = True
+    return np.flatnonzero(marked & wanted)
+
+
+def rows_held(batch: pa.RecordBatch, text_col: str, wanted: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row of a stretch, and its (row, feature) pairs; what is held at a time does not grow with the texts."""
+    data, offsets = utf8(batch.column(text_col))
+    for i, j in slices(offsets, PIECE):
+        own = data[offsets[i] : offsets[j]]
+        if len(own) > PIECE and j == i + 1:
+            feature = held_by_long(own, wanted)
+            yield i, j, np.zeros(len(feature), np.int64), feature
+        else:
+            yield i, j, *held(own, offsets[i : j + 1] - offsets[i], wanted)
+
+
 def held_out(id_col: str) -> Column:
     """Rows whose labels are never learned from."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -126,11 +153,9 @@ def fit(
     everything = np.ones(size, bool)
 
     def count(batch: pa.RecordBatch, sums: np.ndarray) -> None:
-        data, offsets = utf8(batch.column("text"))
         y = batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
-        for i, j in slices(offsets):
-            row, feature = held(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], everything)
-            sums += np.bincount(feature + y[i + row] * size, minlength=len(sums))
+        for i, _, row, feature in rows_held(batch, "text", everything):
+            np.add.at(sums, feature + y[i + row] * size, 1)
         sums[2 * size] += len(y) - y.sum()
         sums[2 * size + 1] += y.sum()
 
@@ -144,9 +169,7 @@ def fit(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column("text"))
-            for i, j in slices(offsets):
-                row, feature = held(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], wanted)
+            for i, j, row, feature in rows_held(batch, "text", wanted):
                 lists = np.split(feature, np.searchsorted(row, np.arange(1, j - i)))
                 yield pa.RecordBatch.from_arrays([batch.column("y")[i:j], pa.array(lists, pa.list_(pa.int32()))], ["y", "features"])
 
@@ -159,6 +182,13 @@ def fit(
     return Model((w * r).astype(np.float32), bias, threshold)
 
 
+def probabilities(batch: pa.RecordBatch, model: Model, text_col: str, known: np.ndarray) -> np.ndarray:
+    z = np.full(batch.num_rows, model.bias)
+    for i, j, row, feature in rows_held(batch, text_col, known):
+        z[i:j] += np.bincount(row, model.weights[feature], j - i)
+    return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+
+
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``df`` with score (0 to 1) and predicted (1 from the threshold on) for each whole text.
 
@@ -170,12 +200,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = utf8(batch.column(text_col))
-            z = np.full(batch.num_rows, model.bias)
-            for i, j in slices(offsets):
-                row, feature = held(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], known)
-                z[i:j] += np.bincount(row, model.weights[feature], j - i)
-            p = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
+            p = probabilities(batch, model, text_col, known)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(p), pa.array((p >= model.threshold).astype(np.int32))],
                 [*batch.schema.names, "score", "predicted"],
@@ -185,7 +210,15 @@ def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return df.mapInArrow(rate, f"{fields}, score double, predicted int")
 
 
-def clean(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the classifier does not reject, with their own columns."""
-    scored = score(docs, fit(spark, docs, labels, **options))
-    return scored.where("predicted = 0").select(*docs.columns)
+def clean(spark: SparkSession, docs: DataFrame, labels: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The documents that the classifier does not reject, with their own columns, whatever these are called."""
+    model = fit(spark, docs, labels, text_col=text_col, **options)
+    mark = spare(docs, "_rejected")
+    known = model.weights != 0
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column(mark, pa.array(probabilities(batch, model, text_col, known) >= model.threshold))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return docs.mapInArrow(judge, f"{fields}, `{mark}` boolean").where(~F.col(mark)).drop(mark)

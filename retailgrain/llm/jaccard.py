@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm.common import Steps, components
+from retailgrain.llm.common import Steps, components, spare
 from retailgrain.llm.near import connected, shared_postings
 from retailgrain.llm.sums import total
 from retailgrain.llm.textbytes import LOWER, U64, hashes, mix64, signed, slices, spans, utf8
@@ -210,5 +210,6 @@ def join(
 def distinct_documents(spark: SparkSession, df: DataFrame, **options) -> DataFrame:
     """One document of each group, the one with the smallest id, with the columns of ``df``; rows without id stay."""
     id_col = options.get("id_col", "doc_id")
-    drop = join(spark, df, **options).where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(drop, df[id_col] == F.col("_gone"), "left_anti")
+    gone = spare(df, "_gone")
+    drop = join(spark, df, **options).where("component_id < doc_id").select(F.col("doc_id").alias(gone)).distinct()
+    return df.join(drop, df[id_col].cast("bigint") == F.col(gone), "left_anti")

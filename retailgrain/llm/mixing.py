@@ -139,14 +139,12 @@ def mix(
 def mixed_documents(spark: SparkSession, df: DataFrame, **options) -> DataFrame:
     """The rows of ``df``, each as often as the mix uses it, with its own columns only."""
     names = {k: options.get(k, v) for k, v in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
-    copies = mix(spark, df, **options).groupBy("doc_id", "source", "text_md5").agg(F.count("*").cast("int").alias("_copies"))
-    copies = copies.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_md5").alias("_md5"), "_copies")
+    copies = mix(spark, df, **options).groupBy("doc_id", "source", "text_md5").agg(F.count("*").cast("int").alias("copies"))
     text = F.coalesce(F.col(names["text_col"]).cast("string"), F.lit(""))
-    own = df.select(*df.columns, F.md5(text.cast("binary")).alias("_text_md5"))
-    same = (
-        (F.col("_text_md5") == F.col("_md5"))
-        & own[names["id_col"]].eqNullSafe(F.col("_id"))
-        & own[names["source_col"]].cast("string").eqNullSafe(F.col("_source"))
+    # Whole rows travel as one column, so their own names cannot clash.
+    own = df.select(
+        F.struct(*df.columns).alias("row"), F.md5(text.cast("binary")).alias("own_md5"),
+        F.col(names["id_col"]).alias("own_id"), F.col(names["source_col"]).cast("string").alias("own_source"),
     )
-    many = own.join(copies, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return many.select(*df.columns)
+    same = (F.col("own_md5") == F.col("text_md5")) & F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_source").eqNullSafe(F.col("source"))
+    return own.join(copies, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

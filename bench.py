@@ -37,7 +37,10 @@ HEADLINES = (
     "report_yoy_sales",
     "report_stock_recon",
     "sink_replace",
+    "report_listed_cities",
+    "report_listed_shops",
     "src_file_intake",
+    "stream_weekly_counts",
     "stream_weekly_orders",
 )
 

@@ -3,8 +3,8 @@
 A configuration says how many pieces of each length share one sequence. The program over the
 histogram of lengths, cover every length at the least number of sequences, is solved by
 multiplicative weights: a knapsack over the capacity prices the lengths, near-best fillings get
-weight, and the lengths they cover lose price. The solution is rounded down, the rest is solved again, and
-what no whole filling takes is packed best fit first by decreasing length. All this works on
+weight, and the lengths they cover lose price. The solution is rounded to whole sequences, the rest is solved again, and
+what no whole filling takes is packed best fit first by decreasing length; should best fit alone need fewer sequences, its packing stands. All this works on
 the histogram, whose size the capacity bounds; pieces then find their place by their rank.
 """
 
@@ -29,8 +29,14 @@ _encodings: dict = {}
 Config = dict[int, int]  # length -> pieces of it in one sequence
 
 
+SPECIAL = {"<|endoftext|>": 50256}
+
+
 def encoding(ranks_file: str | None):
-    """The byte-level BPE of 50k tokens. Its rank file gives the ids of the JSON form, several times faster."""
+    """Ids of a text by the byte-level BPE of 50k tokens. Its rank file gives the ids of the JSON form, several times faster.
+
+    As there, the string of a special token inside a text is that token.
+    """
     import base64
 
     import public_tokenizers
@@ -40,7 +46,8 @@ def encoding(ranks_file: str | None):
     if path not in _encodings:
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        _encodings[path] = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        bpe = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+        _encodings[path] = lambda text: bpe.encode(text, allowed_special="all") if any(x in text for x in SPECIAL) else bpe.encode_ordinary(text)
     return _encodings[path]
 
 
@@ -51,7 +58,7 @@ def pieces(df: DataFrame, capacity: int, end_id: int, ranks_file: str | None, id
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoding(ranks_file).encode_ordinary, TaskContext.get().partitionId()
+        encode, part = encoding(ranks_file), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
@@ -165,25 +172,43 @@ def best_fit(counts: Config, capacity: int) -> list[tuple[Config, int]]:
     return [(c, n) for group in room.values() for c, n in group]
 
 
-def configurations(counts: Config, capacity: int, rounds: int = 60, width: int = 48, slack: float = 0.002, rate: float = 0.05, passes: int = 3) -> list[tuple[Config, int]]:
-    """Whole numbers of sequences for each configuration that take exactly ``counts``."""
-    rest = {x: n for x, n in counts.items() if n and x < capacity}
-    out = [({capacity: 1}, counts[capacity])] if counts.get(capacity) else []
+def rounded(solution: list[tuple[Config, float]], rest: Config) -> list[tuple[Config, int]]:
+    """Whole copies of the configurations, taken out of ``rest``: the whole parts first, then one more by falling remainder where the pieces are there."""
+    out = []
+
+    def take(config: Config, most: int) -> None:
+        copies = min([most, *(rest[x] // k for x, k in config.items())])
+        if copies > 0:
+            out.append((config, copies))
+            for x, k in config.items():
+                rest[x] -= k * copies
+
+    for config, amount in solution:
+        take(config, int(amount))
+    for config, _ in sorted(solution, key=lambda x: (-(x[1] % 1), sorted(x[0].items()))):
+        take(config, 1)
+    return out
+
+
+def sequences(configs: list[tuple[Config, int]]) -> int:
+    return sum(copies for _, copies in configs)
+
+
+def configurations(counts: Config, capacity: int, rounds: int = 60, width: int = 48, slack: float = 0.002, rate: float = 0.05, passes: int = 5) -> list[tuple[Config, int]]:
+    """Whole numbers of sequences for each configuration that take exactly ``counts``, never more than best fit alone needs."""
+    wanted = {x: n for x, n in counts.items() if n}
+    plain = best_fit(wanted, capacity)
+    rest, out = {x: n for x, n in wanted.items() if x < capacity}, [({capacity: 1}, wanted[capacity])] if capacity in wanted else []
     for _ in range(passes):
         if not rest:
             break
-        placed = 0
-        for config, amount in fractional(rest, capacity, rounds, width, slack, rate):
-            copies = min([int(amount), *(rest.get(x, 0) // k for x, k in config.items())])
-            if copies > 0:
-                out.append((config, copies))
-                placed += copies
-                for x, k in config.items():
-                    rest[x] -= k * copies
+        whole = rounded(fractional(rest, capacity, rounds, width, slack, rate), rest)
+        out += whole
         rest = {x: n for x, n in rest.items() if n}
-        if placed < 64:
+        if not whole:
             break
-    return out + best_fit(rest, capacity)
+    out += best_fit(rest, capacity)
+    return out if sequences(out) <= sequences(plain) else plain
 
 
 def runs(configs: list[tuple[Config, int]], capacity: int) -> tuple[np.ndarray, ...]:

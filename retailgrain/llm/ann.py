@@ -23,6 +23,9 @@ from retailgrain.llm.vectors import common_size, dots, matrix, usable
 FOUND = "query_id bigint, vec_id bigint, score double"
 
 
+SEEDS = 4096  # at most
+
+
 @dataclass(frozen=True)
 class Index:
     """What is fitted on a bounded sample: rotation, centres, how many lists a query probes, and seed rows."""
@@ -68,7 +71,8 @@ def fit(rows: DataFrame, size: int, total: int, sample: int, list_rows: int, mos
         rank[q[:, None], order] = np.arange(lists)
         need = np.sort(rank[q[:, None], nearest_centre(y, centres)[best]].ravel())
         probes = int(need[min(len(need) - 1, int(np.ceil(recall * len(need))))]) + 1
-    return Index(rotation, centres, probes, ids[:4096], x[:4096])
+    seeds = max(2 * k, min(SEEDS, total // 16))  # a small share of the rows, however few there are
+    return Index(rotation, centres, probes, ids[:seeds], x[:seeds])
 
 
 def scan(q: np.ndarray, floor: float, blocks: list[np.ndarray], squares: list[np.ndarray], whole: np.ndarray, confidence: float) -> np.ndarray:
@@ -143,7 +147,7 @@ def search(
     blocks = blocks.groupBy("list", "block").applyInArrow(pack, "list int, block int, ids binary, rows binary")
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Score the seed rows for every query: its first candidates, and the score that others must reach."""
+        """Score the seed rows for every query: they set the score that rows of its lists must reach."""
         for batch in batches:
             ids, v = batch.column("vec_id").to_numpy(), matrix(batch.column("v"), size)
             order = nearest_first(v @ index.rotation, index.centres)[:, : index.probes]
@@ -161,7 +165,6 @@ def search(
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [()] * 6, types, strict=True)], ["query_id", "q", "lists", "floor", "ids", "scores"])
 
     asked = steps.save("queries", named(queries).mapInArrow(start, "query_id bigint, q binary, lists array<int>, floor double, ids array<bigint>, scores array<double>"))
-    seeds = asked.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("s")).select("query_id", F.col("s.ids").alias("vec_id"), F.col("s.scores").alias("score"))
     turns_of = max(1, -(-asked.count() // 512))
     probes = asked.select("query_id", "q", "floor", F.pmod(F.xxhash64("query_id"), F.lit(turns_of)).cast("int").alias("part"), F.explode("lists").alias("list"))
     probes = probes.where(parts[F.col("list")].isNotNull())
@@ -190,6 +193,14 @@ def search(
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
 
     met = blocks.join(groups.hint("merge"), ["list", "block"]).select("ids", "rows", "asked").mapInArrow(scanned, FOUND)
-    found = seeds.union(met).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def first(found: DataFrame) -> DataFrame:
+        one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    # The scan is the answer. Seeds only gave it a score to reach; they fill up queries whose lists hold too few such rows.
+    scanned_ = steps.save("scanned", first(met))
+    short = asked.join(scanned_.groupBy("query_id").agg(F.count("*").alias("n")), "query_id", "left").where(F.coalesce("n", F.lit(0)) < k)
+    seeds = short.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("s")).select("query_id", F.col("s.ids").alias("vec_id"), F.col("s.scores").alias("score"))
+    return first(scanned_.select("query_id", "vec_id", "score").union(seeds))

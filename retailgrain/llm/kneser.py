@@ -17,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailgrain.llm.common import Steps
+from retailgrain.llm.common import Steps, settings
 from retailgrain.llm.textbytes import slices, utf8
 
 ORDER = 5
 SYMBOLS = 256
 KEYS = ("doc_id", "lang", "text_md5", "model")
 POOL = "\1"  # the model of all languages
+# Where the ids of trusted texts fit a small filter, Spark tests them before it moves a text for training.
+FEWER = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": str(64 << 20)}
 MASK = [(1 << (8 * k)) - 1 for k in range(ORDER + 1)]
 
 
@@ -40,6 +42,24 @@ def codes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def stretches(data: np.ndarray, offsets: np.ndarray, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row, the n-grams that end at each of their bytes, and the row (from the first) of each.
+
+    A text beyond ``limit`` bytes comes in pieces, each with the bytes before it as context.
+    """
+    for i, j in slices(offsets, limit):
+        own = data[offsets[i] : offsets[j]]
+        if j == i + 1 and len(own) > limit:
+            for a in range(0, len(own), limit):
+                start = max(a - (ORDER - 1), 0)
+                piece = own[start : a + limit]
+                code = codes(piece, np.array([0, len(piece)]))[a - start :]
+                yield i, j, code, np.zeros(len(code), np.int64)
+        else:
+            at = offsets[i : j + 1] - offsets[i]
+            yield i, j, codes(own, at), np.repeat(np.arange(j - i), np.diff(at))
+
+
 def counts(texts: DataFrame) -> DataFrame:
     """(lang, g, c) from (lang, text): each task adds up its own batches first."""
 
@@ -47,11 +67,9 @@ def counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             langs = np.array(batch.column("lang").to_pylist(), object)
-            for i, j in slices(offsets, 8 << 20):
-                code = codes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                owner = np.repeat(langs[i:j], np.diff(offsets[i : j + 1]))
+            for i, j, code, owner in stretches(data, offsets, 8 << 20):
                 for lang in sorted(set(langs[i:j])):
-                    g, c = np.unique(code[owner == lang], return_counts=True)
+                    g, c = np.unique(code[(langs[i:j] == lang)[owner]], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g), pa.array(c)], ["lang", "g", "c"])
 
     return texts.mapInArrow(count, "lang string, g bigint, c bigint").groupBy("lang", "g").agg(F.sum("c").alias("c"))
@@ -73,8 +91,9 @@ def model(steps: Steps, top: DataFrame) -> DataFrame:
         ratio = lambda a, b: F.when((F.col(b) > 0), F.col(a) / F.col(b)).otherwise(F.lit(0.5))
         y = F.col("n1") / F.greatest(F.col("n1") + 2 * F.col("n2"), F.lit(1.0))
         d = [F.greatest(F.least(i - (i + 1) * y * ratio(f"n{i + 1}", f"n{i}"), F.lit(float(i))), F.lit(0.1)).alias(f"d{i}") for i in (1, 2, 3)]
+        # One row for each language, as the driver sees them too.
         cut = levels[k].groupBy("lang").agg(*n).select("lang", F.struct(*d).alias("d"))
-        seen = levels[k].join(cut, "lang").select("lang", "g", "c", discount(F.col("c"), F.col("d")).alias("cut"), F.shiftright("g", 8).alias("h"))
+        seen = levels[k].join(F.broadcast(cut), "lang").select("lang", "g", "c", discount(F.col("c"), F.col("d")).alias("cut"), F.shiftright("g", 8).alias("h"))
         context = seen.groupBy("lang", "h").agg(F.sum("c").alias("total"), F.sum("cut").alias("left"))
         context = context.select("lang", "h", "total", (F.col("left") / F.col("total")).alias("weight"))
         full = seen.join(context, ["lang", "h"]).withColumn("s", F.col("g").bitwiseAND(F.lit(MASK[k - 1])))
@@ -85,73 +104,107 @@ def model(steps: Steps, top: DataFrame) -> DataFrame:
     return steps.save("model", reduce(DataFrame.union, rows))
 
 
-def shards(table: DataFrame, most: int) -> list[list[int]]:
-    """Sets of bytes before the scored one; a shard holds all that can follow its bytes, ``most`` rows if possible."""
-    sizes = table.where("abs(kind) > 1").groupBy(before().alias("b")).agg(F.count("*").alias("n")).collect()  # 256 rows at most
+def shards(table: DataFrame, most: int) -> list[tuple[int, int]]:
+    """Ranges of the two bytes before the scored one; a shard holds all longer n-grams behind its bytes, ``most`` rows if possible."""
+    sizes = table.where("abs(kind) > 2").groupBy(before().alias("b")).agg(F.count("*").alias("n")).collect()  # 65,536 rows at most
     rows = {r["b"]: r["n"] for r in sizes}
-    out, room = [[]], most
-    for b in range(SYMBOLS):  # also those that no trusted text holds
+    out, start, room = [], 0, most
+    for b in range(1 << 16):  # also those that no trusted text holds
         n = rows.get(b, 0)
-        if n > room and out[-1]:
-            out.append([])
-            room = most
-        out[-1].append(b)
+        if n > room and b > start:
+            out.append((start, b))
+            start, room = b, most
         room -= n
-    return out
+    return [*out, (start, 1 << 16)]
 
 
 def before() -> Column:
-    """The byte before the scored one: next to last of an n-gram, last of a context."""
-    return F.when(F.col("kind") > 0, F.shiftright("g", 8)).otherwise(F.col("g")).bitwiseAND(F.lit(255))
+    """The two bytes before the scored one: next to last of an n-gram, last of a context."""
+    return F.when(F.col("kind") > 0, F.shiftright("g", 8)).otherwise(F.col("g")).bitwiseAND(F.lit(0xFFFF))
+
+
+class Lookup:
+    """Values by 64-bit keys above 0: open addressing, probed for many keys at once."""
 
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(int(2 * len(keys)).bit_length(), 4)
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.float32)
+        left = np.arange(len(keys))
+        at = self._place(keys)
+        while len(left):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[left[free]]  # of several for one place the last stays
+            there = self.keys[at] == keys[left]
+            self.values[at[there]] = values[left[there]]
+            left, at = left[~there], (at[~there] + 1) & ((1 << self.bits) - 1)
 
-def partial(docs: DataFrame, table: DataFrame, own: list[int], langs: list[str]) -> DataFrame:
-    """(doc_id, lang, text_md5, model, log_p, n) from the positions of one shard, whose rows go to every task."""
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each key is there, and its value."""
+        at = self._place(wanted)
+        key = self.keys[at]
+        hit = key == wanted
+        left = np.flatnonzero(~hit & (key != -1))
+        while len(left):
+            at[left] = (at[left] + 1) & ((1 << self.bits) - 1)
+            key = self.keys[at[left]]
+            there = key == wanted[left]
+            hit[left[there]] = True
+            left = left[~there & (key != -1)]
+        return hit, self.values[at]
+
+
+def partial(docs: DataFrame, table: DataFrame, own: tuple[int, int], langs: list[str]) -> DataFrame:
+    """(doc_id, lang, text_md5, model, log_p, n) from the positions of one shard, whose rows go to every task.
+
+    ``docs`` names in ``models`` all models that judge a text, so the text is read once for all of them and is not moved.
+    """
     place = F.when(F.col("kind") > 0, F.col("kind")).otherwise(8 - F.col("kind"))
     number = F.create_map(*[F.lit(x) for pair in zip(langs, range(len(langs)), strict=True) for x in pair])[F.col("lang")]
     key = F.shiftleft(place.cast("bigint"), 56).bitwiseOR(F.shiftleft(number.cast("bigint"), 40)).bitwiseOR(F.col("g"))
-    part = table.where((F.abs("kind") == 1) | before().isin(own)).select(key.alias("key"), F.col("value").cast("float").alias("value")).toArrow()
+    first, end = own
+    part = table.where((F.abs("kind") <= 2) | before().between(first, end - 1)).select(key.alias("key"), F.col("value").cast("float").alias("value")).toArrow()
     keys, values = part["key"].to_numpy(), part["value"].to_numpy()
-    order = np.argsort(keys)
-    keys, values = np.append(keys[order], np.iinfo(np.int64).max), np.append(values[order], np.float32(0))
-    mine = np.zeros(256, bool)
-    mine[own] = True
     numbers = {x: i for i, x in enumerate(langs)}
 
-    def find(kind: int, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        wanted = code | (kind << 56)
-        at = np.searchsorted(keys, wanted)
-        return keys[at] == wanted, values[at]
-
-    def log_p(code: np.ndarray, lang: int) -> np.ndarray:
+    def log_p(lookup: Lookup, code: np.ndarray, lang: int) -> np.ndarray:
         out, left = np.zeros(len(code), np.float64), np.arange(len(code))
         for k in range(ORDER, 0, -1):
-            seen, value = find(k, (code[left] & MASK[k]) | (lang << 40))
+            gram = code[left]
+            seen, value = lookup.find((gram & MASK[k]) | (lang << 40) | (k << 56))
             out[left[seen]] += value[seen]
-            left = left[~seen]
+            left, gram = left[~seen], gram[~seen]
             if not len(left):
                 return out
-            known, weight = find(8 + k, ((code[left] & MASK[k]) >> 8) | (lang << 40))
+            known, weight = lookup.find(((gram & MASK[k]) >> 8) | (lang << 40) | ((8 + k) << 56))
             out[left] += np.where(known, weight, 0.0)
         out[left] -= np.log(SYMBOLS)
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(keys, values)
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
-            lang = [numbers.get(x, -1) for x in batch.column("model").to_pylist()]
-            sums, n = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for i, j in slices(offsets):
-                at = offsets[i : j + 1] - offsets[i]
-                code = codes(data[offsets[i] : offsets[j]], at)
-                chosen = mine[(code >> 8) & 255]
-                owner = np.repeat(np.arange(i, j), np.diff(at))
-                numbers_at = np.array(lang[i:j])[owner - i] if len(owner) else np.zeros(0, np.int64)
-                for x in {*lang[i:j]} - {-1}:
-                    here = np.flatnonzero(chosen & (numbers_at == x))
-                    sums += np.bincount(owner[here], log_p(code[here], x), batch.num_rows)
-                    n += np.bincount(owner[here], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in KEYS], pa.array(sums), pa.array(n)], [*KEYS, "log_p", "n"])
+            models = batch.column("models").to_pylist()
+            rows = [(i, x) for i, names in enumerate(models) for x in names]
+            at_row = {pair: k for k, pair in enumerate(rows)}
+            sums, n = np.zeros(len(rows)), np.zeros(len(rows), np.int64)
+            for i, j, code, owner in stretches(data, offsets):
+                behind = (code >> 8) & 0xFFFF
+                here = (behind >= first) & (behind < end)
+                code, owner = code[here], owner[here]
+                for x in sorted({x for names in models[i:j] for x in names if x in numbers}):
+                    to_row = np.array([at_row.get((r, x), -1) for r in range(i, j)])[owner]
+                    asked = to_row >= 0
+                    some, goal = (code, to_row) if asked.all() else (code[asked], to_row[asked])
+                    if len(some):
+                        sums += np.bincount(goal, log_p(lookup, some, numbers[x]), len(rows))
+                        n += np.bincount(goal, minlength=len(rows))
+            owner = pa.array([i for i, _ in rows], pa.int64())
+            columns = [batch.column(c).take(owner) for c in KEYS[:3]] + [pa.array([x for _, x in rows], pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(sums), pa.array(n)], [*KEYS, "log_p", "n"])
 
     return docs.mapInArrow(run, "doc_id bigint, lang string, text_md5 string, model string, log_p double, n bigint")
 
@@ -188,10 +241,10 @@ def perplexities(
     trusted = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("doc_id"))
     trusted = trusted.agg(F.min(label_col).alias("least")).where("least = 1").select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2).cast("int").alias("fold"))
     trusted = steps.save("trusted", trusted)
-    train = docs.join(trusted, "doc_id").select("lang", "text", "fold")
+    train = docs.join(trusted.where("fold >= 0"), "doc_id").select("lang", "text", "fold")
     if folds == 1:
         top = steps.save("counts", counts(train.where("fold = 0").select("lang", "text")))
-        asked = docs.withColumn("model", F.col("lang"))
+        asked = docs.withColumn("models", F.array("lang"))
     else:
         half = lambda fold, name: F.concat(fold.cast("string"), name)
         able = train.where("text <> ''").groupBy("lang").agg(F.count_distinct("fold").alias("k")).where("k = 2")
@@ -199,27 +252,32 @@ def perplexities(
         pooled = not docs.where(~F.col("lang").isin(known)).isEmpty()
         names = [F.col("lang"), F.lit(POOL)] if pooled else [F.col("lang")]
         train = train.select(F.explode(F.array(*[half(F.col("fold"), x) for x in names])).alias("lang"), "text")
-        top = steps.save("counts", counts(train))
+        with settings(spark, FEWER):
+            top = steps.save("counts", counts(train))
         scale = F.when(F.col("lang").isin(known), F.col("lang")).otherwise(F.lit(POOL))
-        other = F.array_distinct(F.array(*[half(1 - F.col("fold"), x) for x in (scale, *names[1:])]))
-        both = F.array(*[half(F.lit(x), scale) for x in (0, 1)])
-        asked = docs.join(trusted, "doc_id", "left").withColumn("model", F.explode(F.when(F.col("fold").isNotNull(), other).otherwise(both))).select(*docs.columns, "model")
+        # Both halves judge every text where it lies; what a trusted text must not be judged by is left out below, without its text.
+        models = F.array_distinct(F.array(*[half(F.lit(x), name) for x in (0, 1) for name in (scale, *names[1:])]))
+        asked = docs.withColumn("models", models)
     langs = sorted(r["lang"] for r in top.select("lang").distinct().collect())  # as many as there are languages, for each half
     table = model(steps, top)
     parts = [steps.save(f"partial{i}", partial(asked, table, own, langs)) for i, own in enumerate(shards(table, shard_rows))] if langs else []
     if not parts:
-        parts = [asked.select(*KEYS, F.lit(0.0).alias("log_p"), F.lit(0).cast("bigint").alias("n"))]
+        parts = [asked.select(*KEYS[:3], F.explode("models").alias("model"), F.lit(0.0).alias("log_p"), F.lit(0).cast("bigint").alias("n"))]
     scored = reduce(DataFrame.union, parts).groupBy(*KEYS).agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"), F.count("*").alias("k"))
     scored = scored.select(
         *KEYS, (F.col("k") / len(parts)).cast("int").alias("rows"), F.col("n"), F.when(F.col("n") > 0, -F.col("log_p") / F.col("n")).alias("loss"),
         (F.col("model") if folds == 1 else F.substring("model", 2, 1 << 20)).alias("scale"),
     )
+    if folds == 2:
+        own_half = F.substring("model", 1, 1).cast("int") == F.col("fold")
+        needed = F.when(F.col("fold").isNull(), (F.col("scale") == F.col("lang")) | ~F.col("lang").isin(known)).otherwise(~own_half)
+        scored = scored.join(trusted, "doc_id", "left").where(needed).drop("fold")
     scored = steps.save("scored", scored)
     judged = scored.join(trusted.where("fold = 1") if folds == 1 else trusted, "doc_id", "left_semi").where("loss is not null")
     limits = judged.groupBy("scale").agg(F.percentile_approx(F.exp("loss"), quantile, 100_000).alias("threshold"))
     own = scored if folds == 1 else scored.where((F.col("scale") == F.col("lang")) | ~F.col("lang").isin(known))
     own = own.groupBy("doc_id", "lang", "text_md5", "scale").agg(F.max("rows").alias("rows"), F.max("n").alias("n"), F.exp(F.avg("loss")).alias("perplexity"))
-    out = own.join(limits, "scale", "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    out = own.join(F.broadcast(limits), "scale", "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("rows"))))
     out = out.select(
         "doc_id", F.when(F.col("lang") != "\0", F.col("lang")).alias("lang"), (F.col("n") / F.col("rows")).cast("bigint").alias("n_bytes"), "perplexity", "threshold",
         F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)).alias("kept"),

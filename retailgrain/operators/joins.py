@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from retailgrain.operators.skew import attach_group_totals, never_null
+from retailgrain.operators.skew import attach_group_totals, never_null, spread
 
 
 def map_lookup(df: DataFrame, column: str, mapping: DataFrame, source: str, target: str) -> DataFrame:
@@ -29,7 +29,6 @@ def full_outer_match(
     key, without gathering a hot key in one task. Rows that nobody matches are done. The others meet by key; where the
     larger side of a key has more than ``chunk`` rows, it is cut into parts and the smaller side goes to each of them.
     """
-    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nothing = lambda df: F.lit(None).cast(T.StructType([T.StructField(f.name, f.dataType) for f in df.schema]))
 
     def tagged(df: DataFrame, key: str, *sides: Column) -> DataFrame:
@@ -39,6 +38,7 @@ def full_outer_match(
     rows = tagged(left, left_key, F.struct(*left.columns), nothing(right)).unionAll(
         tagged(right, right_key, nothing(left), F.struct(*right.columns))
     )
+    n = spread(rows)
     one = lambda c: F.when(F.col("_known") & F.col(c).isNotNull(), 1).otherwise(0)
     counted = attach_group_totals(rows, ["_k"], {"_nl": one("_l"), "_nr": one("_r")}, n)
     on_left = F.col("_r").isNull()

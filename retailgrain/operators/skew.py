@@ -7,8 +7,22 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
-def _spread(df: DataFrame, buckets: int | None) -> int:
-    return buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+# Input bytes for each partition of an exchange whose number of partitions is given, and which Spark therefore never changes.
+BYTES_A_PARTITION = 16 << 20
+_UNKNOWN_SIZE = 1 << 62  # what Spark takes a source without a size for
+
+
+def spread(df: DataFrame, buckets: int | None = None) -> int:
+    """Number of partitions for an exchange of the rows: the session's, more of them where the tables read are large.
+
+    So a task's share of the rows stays the same while the tables grow. The sizes are those that Spark plans with; nothing is read.
+    """
+    if buckets:
+        return buckets
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    wanted = -(-sum(s for s in sizes if s < _UNKNOWN_SIZE) // BYTES_A_PARTITION)
+    return max(wanted, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 # Stands for NULL in a key that is compared; rows with a NULL key add nothing to it.
@@ -29,12 +43,12 @@ def attach_group_totals(df: DataFrame, keys: list[str], sums: dict[str, Column],
     """Add sums over all rows with the same keys to every row, each under its name in ``sums``.
 
     A window over the keys would sort a hot key in one task. Here each row gets a sub-key from a hash of the whole row and is
-    moved once, by key and sub-key, so a hot key is spread over as many tasks as there are shuffle partitions. The same
+    moved once, by key and sub-key, so a hot key is spread over as many tasks as there are partitions (``spread``). The same
     exchange serves both uses of the rows: sums per (key, sub-key) are taken where the rows lie, added up per
     key over at most ``buckets`` narrow rows, and joined back. NULL keys get NULL. Equal rows share a
     sub-key: aggregate copies first, or leave them to the skew join.
     """
-    n = _spread(df, buckets)
+    n = spread(df, buckets)
     # The sub-key is computed above the exchange from all columns and no key can be NULL, so Spark neither prunes columns
     # nor pushes a filter into one of the uses, which would make them two exchanges.
     names = [f"_key{i}" for i in range(len(keys))]

@@ -5,7 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import Window, functions as F
 
+from retailgrain import session, tune
 from retailgrain.checks import CHECKS
+from retailgrain.operators import skew
 from retailgrain.operators.joins import densify, full_outer_match
 from retailgrain.operators.projections import tag_first_substring
 from retailgrain.operators.rule_joins import shop_pairs_by_join, substring_pairs, tag_by_rules, tag_first_substring_by_join
@@ -39,6 +41,43 @@ def test_hot_key_is_spread(spark):
     assert total.count() == 1000 and parts.count() == 16 and parts.agg(F.max("count")).first()[0] < 120
 
 
+def partitions_of_exchanges(df) -> list[int]:
+    import re
+
+    return [int(n) for n in re.findall(r"hashpartitioning\(.*, (\d+)\), (?:REPARTITION|ENSURE)", plan(df))]
+
+
+def test_exchanges_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    """A number of partitions that stays while the tables grow would make each task sort and group ever more rows."""
+    hot_rows(spark, 3000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert skew.spread(df) == skew.spread(spark.createDataFrame([(1,)], "a int")) == few and skew.spread(df, 3) == 3
+    window = rows_of(df.withColumn("t", F.when(F.col("k").isNotNull(), F.sum("v").over(Window.partitionBy("k")))))
+    sizes = []
+    for part in (4096, 1024):
+        monkeypatch.setattr(skew, "BYTES_A_PARTITION", part)
+        total = attach_group_total(df, ["k"], "v", "t")
+        sizes.append(skew.spread(df))
+        assert sizes[-1] > few and sizes[-1] in partitions_of_exchanges(total)
+        assert rows_of(total) == window
+    assert 3.5 < sizes[1] / sizes[0] < 4.5
+
+
+def test_shuffles_start_with_many_small_partitions(spark):
+    """Whatever number the session gives, Spark cuts a shuffle finely, then puts small partitions together and splits hot ones."""
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with session.settings(spark, {"spark.sql.shuffle.partitions": "12"}):
+        tune(spark)
+        assert spark.conf.get(initial) == "1000"
+        df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+        assert partitions_of_exchanges(df) == [1000] and df.count() == 7
+    with session.settings(spark, {"spark.sql.shuffle.partitions": "3000"}):
+        assert tune(spark).conf.get(initial) == "3000"
+    assert tune(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes") == "16m"
+
+
 def test_copies_survive(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"))
     collapsed = collapse_copies(df)

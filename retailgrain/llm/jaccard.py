@@ -192,7 +192,7 @@ def join(
         b = tokens.select(F.col("m").alias("b"), F.col("tokens").alias("tb"))
         return linked(pairs.join(b, "b").join(a, "a"), percent).distinct()
 
-    found = connected(steps, shared, members, ["n", "pos"], admissible, verify)
+    found = connected(steps, shared, members, ["n", "pos"], admissible, verify, [F.col("pos")])
     # An id with several texts belongs to several classes and joins them.
     of_class = classes_.select("fp1", "fp2", "n", "m")
     known = rows.where("doc_id is not null and n > 0").join(of_class, ["fp1", "fp2", "n"])

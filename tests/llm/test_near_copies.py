@@ -7,7 +7,7 @@ import random
 import pytest
 from helpers_llm import DOCS, awkward_rows, documents, edited, prose, shingles, smallest_reachable
 
-from retailgrain.llm import jaccard, lines, queries
+from retailgrain.llm import jaccard, lines, near, queries
 
 
 def brute(rows):
@@ -151,3 +151,40 @@ def test_edit_distance_equals_the_table_form():
         most = rng.randint(0, 12)
         got = lines.edit_distance(a, b, most)
         assert got == row[-1] if row[-1] <= most else got > most
+
+
+def test_groups_meet_once_for_each_row_of_shared_keys(spark):
+    """Every pair of different components meets; equal neighbours among its keys do not make it meet again."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    rows = []
+    for g in range(40):
+        keys = sorted(set(range(60)) - set(rng.sample(range(60), rng.choice([0, 3, 20, 55]))))
+        rows += [(k, g, pos, rng.random() < 0.3 and g % 5 == 0, g // 2) for pos, k in enumerate(keys)]
+    # Under each key one component at most is the main one.
+    rows = [(k, g, pos, main and g // 10 == k % 4, part if part % 5 else 100 + g // 10) for k, g, pos, main, part in rows]
+    table = spark.createDataFrame(rows, "key bigint, g bigint, pos int, in_main boolean, part bigint")
+    main = table.where("in_main").groupBy("key").agg(F.min("part").alias("top"))
+    table = table.join(main, "key", "left").withColumn("in_main", F.coalesce(F.col("part") == F.col("top"), F.lit(False))).drop("top")
+    got = [(r.g, r.h) for r in near.meetings(near.chained(table, [F.col("pos")]), lambda a, b: F.lit(True)).collect()]
+    keys, part = {}, {}
+    for k, g, _, _, p in rows:
+        keys.setdefault(g, set()).add(k)
+        part[g] = p
+    want = {(a, b) for a in keys for b in keys if a < b and part[a] != part[b] and keys[a] & keys[b]}
+    assert set(got) == want
+    assert len(got) * 3 < sum(len(keys[a] & keys[b]) for a, b in want)
+
+
+def test_lines_go_by_short_numbers(spark, monkeypatch):
+    """Links and components of lines hold numbers, not the place and hashes of each line."""
+    seen = []
+    plain = lines.connected
+    monkeypatch.setattr(lines, "connected", lambda steps, shared, members, *rest: seen.append(members.schema["m"].dataType.simpleString()) or plain(steps, shared, members, *rest))
+    rng = random.Random(3)
+    base = prose(rng, 60)
+    docs = documents(spark, [(i, edited(rng, base, i % 2), "en", "s", 0, 1, "", "", 1) for i in range(6)])
+    got = {r.doc_id: r.lines_dropped or [] for r in lines.dedup(spark, docs, bands=lines.BANDS).collect()}
+    assert seen == ["bigint"]
+    assert got[0] == [] and sum(map(len, got.values())) == 5

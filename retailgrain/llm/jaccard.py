@@ -21,6 +21,7 @@ from retailgrain.llm.sums import total
 from retailgrain.llm.textbytes import LOWER, U64, hashes, mix64, signed, slices, spans, utf8
 
 SKETCH_BITS = 20
+TRAIT_BITS = 512
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +144,24 @@ def linked(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "ta", "tb").mapInArrow(check, "a bigint, b bigint")
 
 
+def parities(tokens: DataFrame) -> DataFrame:
+    """(m, traits): for each of 512 ranges of hashes, whether an odd number of the set's tokens lies in it, as bits.
+
+    Two sets differ in at least as many tokens as they do in bits.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, TRAIT_BITS), np.uint8)
+            for i, raw in enumerate(batch.column("tokens")):
+                spots = (from_seven_bytes(raw.as_buffer()) & U64(TRAIT_BITS - 1)).astype(np.int64)
+                bits[i] = np.bincount(spots, minlength=TRAIT_BITS) & 1
+            words = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("m"), pa.array(list(words), pa.list_(pa.int64()))], ["m", "traits"])
+
+    return tokens.select("m", "tokens").mapInArrow(make, "m bigint, traits array<bigint>")
+
+
 def join(
     spark: SparkSession,
     df: DataFrame,
@@ -172,6 +191,10 @@ def join(
     members = steps.save("members", classes_.join(grouped, ["gkey", "n", "head"]).select("g", "m").distinct())
     heads = signed_docs.where("n > 0").withColumn("head", head).join(grouped.withColumnRenamed("g", "doc_id"), ["gkey", "n", "head", "doc_id"])
     postings = heads.select(F.col("doc_id").alias("g"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "key"))
+    # Size and place travel as one number: a row's width is what the largest exchange of this search is made of.
+    packed = postings.select("key", "g", F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("pos").cast("bigint")).alias("at"))
+    n, pos = F.shiftright("at", 32).cast("int"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    postings = packed.repartition("key").select("key", "g", n.alias("n"), pos.alias("pos"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)))
 
     def admissible(a, b) -> Column:
@@ -192,7 +215,15 @@ def join(
         b = tokens.select(F.col("m").alias("b"), F.col("tokens").alias("tb"))
         return linked(pairs.join(b, "b").join(a, "a"), percent).distinct()
 
-    found = connected(steps, shared, members, ["n", "pos"], admissible, verify, [F.col("pos")])
+    def traits(nodes: DataFrame) -> DataFrame:
+        return parities(tokens.join(nodes, "m", "left_semi"))
+
+    def alike(a, b) -> Column:
+        apart = sum((F.bit_count(F.get(a("traits"), i).bitwiseXOR(F.get(b("traits"), i))) for i in range(TRAIT_BITS // 64)), F.lit(0))
+        both = a("n") + b("n")
+        return (both - apart) * (100 + percent) >= both * (2 * percent)
+
+    found = connected(steps, shared, members, ["n", "pos"], admissible, verify, [F.col("pos")], traits, alike)
     # An id with several texts belongs to several classes and joins them.
     of_class = classes_.select("fp1", "fp2", "n", "m")
     known = rows.where("doc_id is not null and n > 0").join(of_class, ["fp1", "fp2", "n"])

@@ -188,3 +188,65 @@ def test_lines_go_by_short_numbers(spark, monkeypatch):
     got = {r.doc_id: r.lines_dropped or [] for r in lines.dedup(spark, docs, bands=lines.BANDS).collect()}
     assert seen == ["bigint"]
     assert got[0] == [] and sum(map(len, got.values())) == 5
+
+
+def counted(monkeypatch, module, name):
+    """Pairs that reach ``module.name``, which verifies them."""
+    seen, plain = [], getattr(module, name)
+    monkeypatch.setattr(module, name, lambda pairs, percent: seen.append(pairs.count()) or plain(pairs, percent))
+    return seen
+
+
+def test_documents_that_share_a_passage_are_not_all_verified(spark, monkeypatch):
+    """Half of each text is the same, so all meet under many keys, but no two link; a few real copies are among them."""
+    rng = random.Random(21)
+    passage = prose(rng, 80)
+    rows = [(i, f"{passage} {prose(rng, 70)}") for i in range(90)]
+    rows += [(100 + i, edited(rng, t, 2)) for i, t in rows[:10]]
+    rows.append((5, rows[40][1]))  # an id with two texts
+    seen = counted(monkeypatch, jaccard, "linked")
+    got = {r.doc_id: r.component_id for r in jaccard.join(spark, spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute(rows)
+    assert sum(seen) < 1000  # of some 4,950
+
+
+def test_lines_that_look_alike_are_not_all_verified(spark, monkeypatch):
+    """Lines that begin alike and end in other words, so that most meet under some key; a few real copies are among them."""
+    rng = random.Random(22)
+    start = prose(rng, 9)
+    rows = [(i, f"{start} {prose(rng, 2 + i % 12)}") for i in range(120)]
+    rows += [(200 + i, edited(rng, t, 1)) for i, t in rows[40:60]]
+    seen = counted(monkeypatch, lines, "similar")
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id for r in lines.dedup(spark, docs, bands=lines.BANDS).collect() if r.lines_dropped}
+    texts = [(i, lines.normal(t)) for i, t in rows]
+    links = [
+        (i, j) for k, (i, x) in enumerate(texts) for j, y in texts[k + 1 :]
+        if lines.edit_distance(x, y, most := max(len(x), len(y)) * 20 // 100) <= most
+    ]
+    first = smallest_reachable([i for i, _ in texts], links)
+    want = {i for i, f in first.items() if i != f}
+    assert got <= want and len(got) >= 0.9 * len(want) >= 18
+    assert sum(seen) < 2200
+
+
+def test_traits_allow_every_pair_that_links(spark):
+    """Letter counts bound the edit distance, bits the difference of two sets; both are plain sums here."""
+    rng = random.Random(23)
+    texts = [lines.normal(prose(rng, rng.randint(1, 12)) + rng.choice(["", " 42", " é", " ß7"])) for _ in range(60)]
+    texts += [lines.normal(edited(rng, t, 1)) for t in texts] + ["", "a"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "m bigint, text string")
+    counts = {r.m: r.traits for r in lines.letter_counts(rows).collect()}
+    assert [sum(counts[i]) for i in range(len(texts))] == [len(t) for t in texts]
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            apart = sum(abs(x - y) for x, y in zip(counts[i], counts[j], strict=True)) + abs(len(a) - len(b))
+            assert apart <= 2 * lines.edit_distance(a, b, len(a) + len(b) + 1)
+    sets = [sorted(rng.sample(range(1 << 56), rng.randint(1, 300))) for _ in range(30)]
+    sets += [sorted({*rng.sample(s, len(s) - len(s) // 10), *rng.sample(range(1 << 56), 5)}) for s in sets]
+    tokens = [(i, bytearray(b"".join(x.to_bytes(7, "little") for x in s))) for i, s in enumerate(sets)]
+    bits = {r.m: r.traits for r in jaccard.parities(spark.createDataFrame(tokens, "m bigint, tokens binary")).collect()}
+    for i, a in enumerate(sets):
+        assert len(bits[i]) * 64 == jaccard.TRAIT_BITS
+        for j, b in enumerate(sets[:i]):
+            assert sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(bits[i], bits[j], strict=True)) <= len(set(a) ^ set(b))

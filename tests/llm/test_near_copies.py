@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from helpers_llm import DOCS, awkward_rows, documents, edited, prose, shingles, smallest_reachable
@@ -250,3 +251,21 @@ def test_traits_allow_every_pair_that_links(spark):
         assert len(bits[i]) * 64 == jaccard.TRAIT_BITS
         for j, b in enumerate(sets[:i]):
             assert sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(bits[i], bits[j], strict=True)) <= len(set(a) ^ set(b))
+
+
+def test_postings_of_lines_move_once(spark, monkeypatch):
+    """Repeated postings go and keys are counted behind one exchange by key."""
+    from retailgrain.llm.common import Steps
+
+    plans, plain = {}, Steps.save
+
+    def save(self, name, df):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return plain(self, name, df)
+
+    monkeypatch.setattr(Steps, "save", save)
+    rng = random.Random(24)
+    docs = spark.createDataFrame([(i, prose(rng, 20)) for i in range(30)], "doc_id bigint, text string")
+    lines.dedup(spark, docs, bands=lines.BANDS).count()
+    assert plans["blocks"].count("Exchange hashpartitioning(key#") == 1
+    assert not re.search(r"hashpartitioning\(g#\w+, key#", plans["blocks"])

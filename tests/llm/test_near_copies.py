@@ -154,6 +154,29 @@ def test_edit_distance_equals_the_table_form():
         assert got == row[-1] if row[-1] <= most else got > most
 
 
+def test_pairs_compared_together_are_those_of_one_by_one():
+    """Lengths around the words of 64 characters, characters beyond ASCII, more pairs than are taken at a time."""
+    import numpy as np
+
+    rng = random.Random(31)
+    a = ["".join(rng.choices("abcé漢𝄞 ", k=rng.choice([0, 1, 5, 63, 64, 65, 128, 130]))) for _ in range(700)]
+    b = []
+    for x in a:
+        y = list(x)
+        for _ in range(rng.randint(0, len(x) // 3 + 1)):
+            k = rng.randint(0, len(y))
+            y[k : k + rng.choice([0, 1, 1])] = rng.choice(["", "d", "b"])
+        b.append("".join(y))
+    a, b = [*a, "a" * 1500, ""], [*b, "a" * 1400, "x"]
+    most = np.array([max(len(x), len(y)) * 20 // 100 for x, y in zip(a, b, strict=True)])
+    want = [lines.edit_distance(x, y, m) <= m for x, y, m in zip(a, b, most.tolist(), strict=True)]
+    assert lines.close(a, b, most).tolist() == want and 100 < sum(want) < 600
+    order = sorted(range(len(a)), key=lambda i: -max(len(a[i]), len(b[i])))
+    short, long = ([f((a[i], b[i]), key=len) for i in order] for f in (min, lambda p, key: max(p[::-1], key=key)))
+    assert lines.distances(short, long).tolist() == [lines.edit_distance(x, y, 2000) for x, y in zip(short, long, strict=True)]
+    assert lines.close([], [], np.zeros(0, np.int64)).tolist() == []
+
+
 def test_groups_meet_once_for_each_row_of_shared_keys(spark):
     """Every pair of different components meets; equal neighbours among its keys do not make it meet again."""
     from pyspark.sql import functions as F
@@ -269,3 +292,28 @@ def test_postings_of_lines_move_once(spark, monkeypatch):
     lines.dedup(spark, docs, bands=lines.BANDS).count()
     assert plans["blocks"].count("Exchange hashpartitioning(key#") == 1
     assert not re.search(r"hashpartitioning\(g#\w+, key#", plans["blocks"])
+
+
+def test_pairs_that_cannot_link_make_no_keys(spark, monkeypatch):
+    """Lines that share most words meet, but where other letters keep them apart, they are no candidates."""
+    from retailgrain.llm.common import Steps
+
+    rows, plain = {}, Steps.save
+
+    def save(self, name, df):
+        out = plain(self, name, df)
+        rows[name] = out.count() if name in ("pairs", "postings") else None
+        return out
+
+    monkeypatch.setattr(Steps, "save", save)
+    rng = random.Random(33)
+    start = prose(rng, 30)
+    texts = [f"{start} {' '.join(rng.choices('zyxwvu', k=1)[0] * 30 for _ in range(2))}" for _ in range(30)]
+    texts += [edited(rng, t, 1) for t in texts[:4]]
+    got = lines.dedup(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), bands=lines.BANDS)
+    plain_texts = [lines.normal(t) for t in texts]
+    likely = sum(
+        lines.edit_distance(x, y, most := max(len(x), len(y)) * 20 // 100) <= most for i, x in enumerate(plain_texts) for y in plain_texts[:i]
+    )
+    assert got.where("size(lines_dropped) > 0").count() >= 4
+    assert rows["postings"] <= 2 * likely < rows["pairs"]

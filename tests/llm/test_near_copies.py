@@ -296,24 +296,25 @@ def test_postings_of_lines_move_once(spark, monkeypatch):
 
 def test_pairs_that_cannot_link_make_no_keys(spark, monkeypatch):
     """Lines that share most words meet, but where other letters keep them apart, they are no candidates."""
-    from retailgrain.llm.common import Steps
-
-    rows, plain = {}, Steps.save
-
-    def save(self, name, df):
-        out = plain(self, name, df)
-        rows[name] = out.count() if name in ("pairs", "postings") else None
-        return out
+    from retailgrain.session import settings
 
-    monkeypatch.setattr(Steps, "save", save)
+    seen = []
+    nothing = spark.createDataFrame([], "node bigint, component bigint")
+    monkeypatch.setattr(lines, "connected", lambda steps, shared, *rest: seen.extend((r.key, r.g) for r in shared.collect()) or nothing)
     rng = random.Random(33)
     start = prose(rng, 30)
-    texts = [f"{start} {' '.join(rng.choices('zyxwvu', k=1)[0] * 30 for _ in range(2))}" for _ in range(30)]
-    texts += [edited(rng, t, 1) for t in texts[:4]]
-    got = lines.dedup(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), bands=lines.BANDS)
-    plain_texts = [lines.normal(t) for t in texts]
-    likely = sum(
-        lines.edit_distance(x, y, most := max(len(x), len(y)) * 20 // 100) <= most for i, x in enumerate(plain_texts) for y in plain_texts[:i]
-    )
-    assert got.where("size(lines_dropped) > 0").count() >= 4
-    assert rows["postings"] <= 2 * likely < rows["pairs"]
+    texts = [f"{start} {rng.choice('zyxwvu') * 30} {rng.choice('zyxwvu') * 30}" for _ in range(30)]
+    texts = sorted({*texts, *[edited(rng, t, 1) for t in texts[:4]]})
+    docs, keys = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), []
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4"}):
+        for _ in range(2):
+            seen.clear()
+            lines.repeated(spark, docs, bands=lines.BANDS)
+            keys.append(len({k for k, _ in seen}))
+            assert len(seen) == 2 * keys[-1]
+            monkeypatch.setattr(lines, "possible", lambda pairs, looks, alike: pairs)
+    plain = sorted({lines.normal(t) for t in texts})
+    both = [(x, y, max(len(x), len(y)) * 20 // 100) for i, x in enumerate(plain) for y in plain[:i]]
+    likely = [p for p in both if sum(abs(p[0].count(c) - p[1].count(c)) for c in {*p[0], *p[1]}) <= 2 * p[2]]
+    assert sum(lines.edit_distance(*p) <= p[2] for p in both) >= 4
+    assert 0 < keys[0] <= len(likely) < keys[1]

@@ -78,6 +78,18 @@ def test_shuffles_start_with_many_small_partitions(spark):
     assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes") == "16m"
 
 
+@pytest.mark.parametrize("name", [
+    "agg_conditional", "agg_detail_dims", "agg_week", "agg_week_distinct", "report_listed_cities", "report_listed_shops", "report_listed_shops_table",
+    "report_order_cube", "report_week_beside_weekend", "report_weekly_orders", "report_weekly_table", "win_order_weight", "win_period_change",
+])
+def test_no_exchange_of_order_lines_has_a_fixed_number(spark, sf_dir, monkeypatch, name):
+    """Where the tables read are many times a partition's bytes, no exchange by key keeps to the session's few partitions."""
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(skew, "BYTES_A_PARTITION", 1024)
+    counts = partitions_of_exchanges(CHECKS[name].query(tune(spark), sf_dir))
+    assert counts and min(counts) >= 10 * few
+
+
 def test_copies_survive(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("a"), F.when(F.col("id") % 2 == 0, "x").alias("b"))
     collapsed = collapse_copies(df)

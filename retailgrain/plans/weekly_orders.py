@@ -16,6 +16,7 @@ from retailgrain.operators.rule_joins import shop_pairs_by_join
 from retailgrain.operators.windows import period_change, truncated_weight, weigh_order_groups
 from retailgrain.rules.fixed_values import PICKUP_DELIVERIES
 from retailgrain.rules.tables import MetricRule, ShopRule
+from retailgrain.session import stored
 
 DETAIL_DIMS = ["week_start", "is_weekend", "address", "order_status", "channel", "delivery"]
 
@@ -38,9 +39,17 @@ def order_groups(lines: DataFrame, first_weekend_day: int = FRIDAY) -> DataFrame
     return weigh_order_groups(dimension_groups(lines, first_weekend_day), "order_no")
 
 
+def complete_groups(groups: DataFrame, total: str) -> DataFrame:
+    """Groups without a NULL dimension. ``total``: a column of what the orders' totals gave, never negative or NULL without an order.
+
+    A filter on the groups alone would go below the exchange that they share with the totals, which would then be made twice.
+    """
+    return groups.where(F.when(F.col("complete"), F.coalesce(F.col(total), F.lit(0))) >= 0)
+
+
 def detail_dims(groups: DataFrame) -> DataFrame:
     """Line count and truncated order weight per dimensions; rows with a NULL dimension are left out."""
-    detail = groups.where("complete").groupBy(*DETAIL_DIMS).agg(
+    detail = complete_groups(groups, "whole_orders").groupBy(*DETAIL_DIMS).agg(
         F.sum("line_count").alias("line_count"),
         F.sum("whole_orders").alias("_whole"),
         F.sum("part_weight").alias("_part"),
@@ -140,7 +149,8 @@ def weekly_shop_metrics(
     first_weekend_day: int = FRIDAY,
 ) -> DataFrame:
     """The shop part of ``weekly_metrics`` for a rule table of any length, matched by equi-joins: the same rows and columns, zeros too."""
-    detail = detail_dims(order_groups(lines, first_weekend_day))
+    # Several uses follow, each of other columns and rows: without a stored step each would make all lines again.
+    detail = stored(detail_dims(order_groups(lines, first_weekend_day)), "weekly-detail")
     picked_up = detail.where(pickup_condition(F.col("delivery"), pickup_deliveries))
     per_address = picked_up.groupBy("week_start", "is_weekend", str_normalize(F.col("address")).alias("subject")).agg(
         F.sum("orders").alias("orders")

@@ -57,13 +57,22 @@ def substring_pairs(texts: DataFrame, rules: DataFrame, pattern: str) -> DataFra
 
 
 def tag_first_substring_by_join(
-    df: DataFrame, text: str, out: str, rules: DataFrame, default: str, strategy: str = "first"
+    df: DataFrame, text: str, out: str, rules: DataFrame, default: str, strategy: str = "first", source: DataFrame | None = None
 ) -> DataFrame:
-    """Same result as ``tag_first_substring`` for a rule table (ordinal, pattern, city) of any length."""
+    """Same result as ``tag_first_substring`` for a rule table (ordinal, pattern, city) of any length.
+
+    ``source``: rows that ``df`` was made of and that hold all its texts, if those cost less.
+    """
     if strategy not in ("first", "longest"):
         raise ValueError(f"unknown strategy {strategy!r}")
     keyed = df.withColumn("subject", str_normalize(F.col(text)))
-    texts = keyed.select("subject").where(F.col("subject").isNotNull()).distinct()
+    # Texts come from the exchange that their rows come from: all columns are asked for and no filter goes below the count,
+    # else Spark would make the rows a second time.
+    rows = df if source is None else source
+    held = rows.withColumn("subject", str_normalize(F.col(text))).groupBy("subject").agg(
+        F.count(F.when(F.col("subject").isNotNull(), F.xxhash64(*rows.columns))).alias("_rows")
+    )
+    texts = held.where("_rows > 0").select(F.when(F.col("_rows") > 0, F.col("subject")).alias("subject"))
     length = F.length(str_normalize(F.col("pattern")))
     rank = F.struct("ordinal", "city") if strategy == "first" else F.struct(-length, F.col("ordinal"), F.col("city"))
     best = substring_pairs(texts, rules, "pattern").groupBy("subject").agg(F.min_by("city", rank).alias(out))
@@ -79,10 +88,11 @@ def tag_by_rules(
     rules: Sequence[CityRule] | DataFrame,
     default: str = OTHER_CITIES,
     strategy: str = "first",
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """First matching rule: a list is compiled into expressions, a table is joined, both with the same result."""
     if isinstance(rules, DataFrame):
-        return tag_first_substring_by_join(df, text, out, rules, default, strategy)
+        return tag_first_substring_by_join(df, text, out, rules, default, strategy, source)
     return tag_first_substring(df, text, out, rules, default, strategy)
 
 

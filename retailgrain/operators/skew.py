@@ -39,42 +39,71 @@ def never_null(df: DataFrame, key: str) -> Column:
     return F.struct(key)
 
 
-def attach_group_totals(df: DataFrame, keys: list[str], sums: dict[str, Column], buckets: int | None = None) -> DataFrame:
+# Where rows lie that ``place`` moved: their key, never NULL, and a sub-key.
+PLACE = ("_place_key", "_place_sub")
+
+
+def place(df: DataFrame, key: str, by: list[str], buckets: int | None = None) -> DataFrame:
+    """``df`` moved by ``key`` and a sub-key from a hash of the columns ``by``, both kept as ``PLACE``; a hot key is spread (``spread``).
+
+    Rows equal in ``by``, which must hold the key, lie together. Grouping by ``PLACE`` and more needs no other exchange, nor do totals of
+    the key (``attach_group_totals``).
+    """
+    n = spread(df, buckets)
+    where = dict(zip(PLACE, (never_null(df, key), F.pmod(F.xxhash64(*by), F.lit(n)).cast("int"))))
+    return df.repartition(n, *where.values()).withColumns(where)
+
+
+def placed(df: DataFrame) -> tuple[str, ...]:
+    """``PLACE`` if the rows still have it."""
+    return PLACE if set(PLACE) <= set(df.columns) else ()
+
+
+def attach_group_totals(
+    df: DataFrame, keys: list[str], sums: dict[str, Column], buckets: int | None = None, at: tuple[str, ...] = ()
+) -> DataFrame:
     """Add sums over all rows with the same keys to every row, each under its name in ``sums``.
 
     A window over the keys would sort a hot key in one task. Here each row gets a sub-key from a hash of the whole row and is
     moved once, by key and sub-key, so a hot key is spread over as many tasks as there are partitions (``spread``). The same
     exchange serves both uses of the rows: sums per (key, sub-key) are taken where the rows lie, added up per
     key over at most ``buckets`` narrow rows, and joined back. NULL keys get NULL. Equal rows share a
-    sub-key: aggregate copies first, or leave them to the skew join.
+    sub-key: aggregate copies first, or leave them to the skew join. ``at``: the ``PLACE`` of rows that lie by their only key already;
+    they are not moved again, and share their exchange if ``sums`` need all that it carries.
     """
-    n = spread(df, buckets)
     # The sub-key is computed above the exchange from all columns and no key can be NULL, so Spark neither prunes columns
     # nor pushes a filter into one of the uses, which would make them two exchanges.
-    names = [f"_key{i}" for i in range(len(keys))]
-    sub = F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
-    moved = df.withColumns({name: never_null(df, k) for name, k in zip(names, keys)}).repartition(n, *names, sub)
-    rows = moved.withColumn("_sub", sub)
+    if at:
+        *names, subname = at
+        rows = df
+    else:
+        n = spread(df, buckets)
+        names, subname = [f"_key{i}" for i in range(len(keys))], "_sub"
+        sub = F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+        moved = df.withColumns({name: never_null(df, k) for name, k in zip(names, keys)}).repartition(n, *names, sub)
+        rows = moved.withColumn(subname, sub)
     known = F.lit(True)
     for k in keys:
         known = known & F.col(k).isNotNull()
-    per_sub = rows.groupBy(*names, "_sub").agg(*[F.sum(F.when(known, value)).alias(f"_part_{out}") for out, value in sums.items()])
+    per_sub = rows.groupBy(*names, subname).agg(*[F.sum(F.when(known, value)).alias(f"_part_{out}") for out, value in sums.items()])
     by_key = Window.partitionBy(*names)
     totals = per_sub.select(
         *[F.col(name).alias(f"{name}_") for name in names],
-        F.col("_sub").alias("_sub_"),
+        F.col(subname).alias(f"{subname}_"),
         *[F.sum(f"_part_{out}").over(by_key).alias(f"_total_{out}") for out in sums],
     )
-    same = F.col("_sub") == F.col("_sub_")
+    same = F.col(subname) == F.col(f"{subname}_")
     for name in names:
         same = same & (F.col(name) == F.col(f"{name}_"))
     joined = rows.join(totals, same, "left")
     return joined.select(*df.columns, *[F.when(known, F.col(f"_total_{out}")).alias(out) for out in sums])
 
 
-def attach_group_total(df: DataFrame, keys: list[str], value: str, out: str, buckets: int | None = None) -> DataFrame:
+def attach_group_total(
+    df: DataFrame, keys: list[str], value: str, out: str, buckets: int | None = None, at: tuple[str, ...] = ()
+) -> DataFrame:
     """``attach_group_totals`` of one column."""
-    return attach_group_totals(df, keys, {out: F.col(value)}, buckets)
+    return attach_group_totals(df, keys, {out: F.col(value)}, buckets, at)
 
 
 def collapse_copies(df: DataFrame, count_col: str = "copies", negative: Column | None = None) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from retailgrain.functions import amount_parts, bucket, total_of_parts
-from retailgrain.operators.filters import all_present
+from retailgrain.functions import bucket, exact_sum
 from retailgrain.operators.rule_joins import tag_by_rules
-from retailgrain.operators.windows import weigh_order_groups
+from retailgrain.operators.skew import placed
+from retailgrain.operators.windows import summed_units, weigh_order_groups
 from retailgrain.rules.fixed_values import CUBE_COLUMNS, OTHER_CITIES, QUANTITY_OTHER
 from retailgrain.rules.tables import BucketBound, CityRule
 
@@ -29,29 +30,26 @@ def order_cube(
 ) -> DataFrame:
     """Mean price and sums of lines, order weight and line totals per cube cell.
 
-    Lines are combined per order and cell before the order weight is attached.
+    Lines get their order's weight where they lie (``order_lines``) and move once, into their cell.
     The mean is over lines, not weighted by their count. Cells with a NULL
     dimension are left out, after their lines have counted for the order.
     """
-    tagged = tag_by_rules(lines, "address", "city", cities, other_city, strategy).withColumns({
+    # A line is one row of its order. The number refers to the count, and so do the lines kept: all uses of the lines need the same
+    # columns and no filter reaches their exchange, which is therefore one.
+    weighed = weigh_order_groups(lines.withColumn("row_count", F.when(F.col("line_count") >= 0, F.lit(1).cast("bigint"))), "order_no", at=placed(lines))
+    tagged = tag_by_rules(weighed, "address", "city", cities, other_city, strategy, lines).withColumns({
         "price_bucket": bucket(F.col("price"), price_bounds),
         "quantity_bucket": bucket(F.col("line_count"), quantity_bounds, QUANTITY_OTHER),
     })
-    # Exact sums travel as 64-bit parts; only a cell's total becomes a decimal.
+    # Exact sums are 64-bit parts; only a cell's total becomes a decimal.
     money = {"price": "price", "line_total": "total"}
-    sums = [part.alias(f"{name}_{i}") for column, name in money.items() for i, part in enumerate(amount_parts(F.col(column)))]
-    per_order = tagged.groupBy("order_no", "week_start", *CUBE_DIMS).agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.sum("line_count").alias("line_count"),
-        *sums,
-        all_present(CUBE_DIMS).alias("complete"),
-    )
-    cells = weigh_order_groups(per_order, "order_no").where("complete")
-    total = {name: total_of_parts(*[F.sum(f"{name}_{i}") for i in range(3)]).cast("double") for name in money.values()}
-    return cells.groupBy("week_start", *CUBE_DIMS).agg(
+    present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in CUBE_DIMS])
+    total = {name: exact_sum(F.col(column)).cast("double") for column, name in money.items()}
+    whole, part = summed_units(F.col("part_units"))
+    return tagged.where(F.when(present, F.col("line_count")) >= 0).groupBy("week_start", *CUBE_DIMS).agg(
         (total["price"] / F.sum("row_count")).alias("mean_price"),
         F.sum("line_count").alias("line_count"),
-        (F.sum("whole_orders") + F.sum("part_weight")).alias("order_weight"),
+        (F.sum("whole_orders") + whole + part).alias("order_weight"),
         total["total"].alias("line_total"),
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from retailgrain.functions import iso_week, join_nullable, week_label, week_start
 from retailgrain.operators.filters import date_range, not_equal_keep_null
 from retailgrain.operators.projections import channel_of
+from retailgrain.operators.skew import PLACE, place
 from retailgrain.rules.fixed_values import UNPAID_STATUS
 
 HEADER = ("company_id", "order_no", "order_date", "order_status", "payment_status", "street", "country", "remark")
@@ -37,7 +38,8 @@ def detail_rows(details: DataFrame) -> DataFrame:
 def paired(delivered: DataFrame, rows: DataFrame, products: DataFrame) -> DataFrame:
     """Each detail with its header and its product's name."""
     named = products.select(F.col("id").alias("product_id"), F.col("descr").alias("product_name"))
-    return rows.join(delivered, "header_id").join(named, "product_id", "left")
+    # Names come to the narrow details: beside the headers' columns they would take an exchange of the widest rows.
+    return rows.join(named, "product_id", "left").join(delivered, "header_id")
 
 
 def described(lines: DataFrame) -> DataFrame:
@@ -69,7 +71,8 @@ def order_lines(
 
     The date and status filters reach the header scan, and Spark prunes the details
     by the headers left. A header with very many details is split by the skew join,
-    and repeated lines are combined before the grouping shuffles them.
+    and repeated lines of a header are combined before the grouping shuffles them. Lines lie by order (``skew.place``), so what
+    counts them by order moves them no more.
     ``collapse_first`` also combines them before the join: one more shuffle, worth it
     when the details hold many copies.
     """
@@ -79,4 +82,6 @@ def order_lines(
     delivered = delivered_headers(wanted, deliveries, extra_header_columns)
     rows = details.groupBy(*DETAIL).agg(F.count("id").alias("_n")) if collapse_first else detail_rows(details)
     keys = [*HEADER, *extra_header_columns, *LINE_KEYS[len(HEADER):]]
-    return described(paired(delivered, rows, products).groupBy(*keys).agg(F.sum("_n").alias("line_count")))
+    # The join leaves a header's lines together.
+    per_header = paired(delivered, rows, products).groupBy("header_id", *keys).agg(F.sum("_n").alias("_n"))
+    return described(place(per_header, "order_no", keys).groupBy(*PLACE, *keys).agg(F.sum("_n").alias("line_count")))

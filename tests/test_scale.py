@@ -11,7 +11,8 @@ from retailgrain.operators import skew
 from retailgrain.operators.joins import densify, full_outer_match
 from retailgrain.operators.projections import tag_first_substring
 from retailgrain.operators.rule_joins import shop_pairs_by_join, substring_pairs, tag_by_rules, tag_first_substring_by_join
-from retailgrain.operators.skew import attach_group_total, chunk_copies, collapse_copies, expand_copies
+from retailgrain.operators.skew import PLACE, attach_group_total, chunk_copies, collapse_copies, expand_copies, place, placed
+from retailgrain.operators.windows import summed_units, weigh_order_groups
 from retailgrain.functions.matching import normalized
 from retailgrain.rules import CityRule, ShopRule, rule_table
 from retailgrain.rules import fixed_values as fixed
@@ -341,3 +342,52 @@ def test_group_total_of_copies(spark):
     total = expand_copies(attach_group_total(one, ["k"], "w", "t").drop("w"))
     assert total.where("k = 7").agg(F.min("t"), F.max("t"), F.count("t")).first()[:] == (59800, 59800, 59800)
     assert total.count() == 60000
+
+
+def made_exchanges(df) -> list[str]:
+    """Exchanges by key that a run made, not those it used again."""
+    return [line for line in final_plan(df).splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+
+
+@pytest.mark.parametrize("name", ["report_order_cube", "agg_cube_rollup", "report_listed_cities", "report_listed_cities_longest"])
+def test_lines_move_once_by_order(spark, sf_dir, eager_skew, name):
+    """Grouping lines, counting them by order and matching their texts share one exchange of the lines; no filter or missing column makes a second."""
+    made = made_exchanges(CHECKS[name].query(spark, sf_dir))
+    assert len([x for x in made if "order_no#" in x]) == 1
+    assert len([x for x in made if "REPARTITION_BY_NUM" in x]) == 1
+
+
+def test_complete_groups_share_the_exchange_of_all(spark, sf_dir, eager_skew):
+    made = made_exchanges(CHECKS["agg_detail_dims"].query(spark, sf_dir))
+    assert len([x for x in made if "_key0#" in x and "REPARTITION_BY_NUM" in x]) == 1
+
+
+@pytest.mark.parametrize("name", ["report_weekly_shops", "report_listed_shops_table"])
+def test_shops_of_a_rule_table_read_stored_rows(spark, sf_dir, name):
+    """All uses of the report rows read the stored ones, none makes the lines again."""
+    df = CHECKS[name].query(spark, sf_dir)
+    assert "lineitem" not in final_plan(df) and "weekly-detail" in plan(df)
+
+
+def test_placed_rows_are_not_moved_again(spark, eager_skew):
+    df = hot_rows(spark)
+    lines = place(df, "k", ["k", "id"], 16).groupBy(*PLACE, "k", "id").agg(F.sum("v").alias("v"))
+    total = attach_group_total(lines, ["k"], "v", "t", at=placed(lines)).drop(*PLACE)
+    window = df.withColumn("t", F.when(F.col("k").isNotNull(), F.sum("v").over(Window.partitionBy("k"))))
+    assert rows_of(total) == rows_of(window)
+    assert len([x for x in made_exchanges(total) if "REPARTITION_BY_NUM" in x]) == 1
+    hot = place(df.where("k = 'hot'"), "k", ["k", "id"], 16).groupBy(F.spark_partition_id()).count()
+    assert hot.count() >= 8 and hot.agg(F.max("count")).first()[0] < 400
+
+
+def test_units_of_split_orders_add_up(spark):
+    """Orders of every size, each row a group: their units make one order, whatever the order of rows, and the rest of a sum stays."""
+    df = spark.range(1, 301).select(F.col("id").alias("n"), F.explode(F.sequence(F.lit(1), F.col("id"))).alias("i"))
+    df = df.select(F.col("n").cast("string").alias("o"), "n", "i", F.lit(1).cast("bigint").alias("row_count"))
+    weighed = weigh_order_groups(df, "o")
+    whole, part = summed_units(F.col("part_units"))
+    per_order = weighed.groupBy("n").agg((F.sum("whole_orders") + whole + part).alias("w"))
+    assert per_order.where("w <> 1.0").count() == 0
+    assert weighed.agg((F.sum("whole_orders") + whole + part).alias("w")).first()[0] == 300.0
+    third = weighed.where("n = 3 and i = 1 or n = 128 and i < 4").agg((F.sum("whole_orders") + whole + part).alias("w")).first()[0]
+    assert third == pytest.approx(1 / 3 + 3 / 128, abs=1e-15)

@@ -18,7 +18,7 @@ from retailgrain.operators.filters import not_equal_keep_null
 from retailgrain.operators.skew import attach_group_total
 from retailgrain.operators.windows import WEIGHT_EPSILON
 from retailgrain.plans.order_lines import HEADER, LINE_KEYS, delivered_headers, described, detail_rows, paired
-from retailgrain.plans.weekly_orders import DETAIL_DIMS, dimension_groups, metrics_of_detail
+from retailgrain.plans.weekly_orders import DETAIL_DIMS, complete_groups, dimension_groups, metrics_of_detail
 from retailgrain.rules.fixed_values import PICKUP_DELIVERIES, UNPAID_STATUS
 from retailgrain.rules.tables import MetricRule, ShopRule
 from retailgrain.streaming.parts import PartStore
@@ -83,20 +83,21 @@ class OrderMetrics:
         fresh = store.staged(new_lines)
         touched = fresh.select("order_no").where("order_no is not null").distinct()
         before = store.read("lines", seen, fresh.schema).join(touched, "order_no", "left_semi").select(*fresh.columns)
-        parts += [new_lines, store.stage("shares", self.change(before, fresh), batch)]
+        # A step of its own, so that its shuffle files are gone when the shares are made.
+        signed = store.stage("signed", lines_by_sign(before, fresh), batch)
+        parts += [new_lines, store.stage("shares", self.change(store.staged(signed)), batch)]
+        store.discard(signed)
         store.commit(batch, parts)
         if any(len(store.manifest().of(p[0].table)) >= self.fold_after for p in parts):
             self.fold()
 
-    def change(self, before: DataFrame, fresh: DataFrame) -> DataFrame:
+    def change(self, signed: DataFrame) -> DataFrame:
         """What the shares of orders gain by fresh lines: rows of orders with ``order_rows`` rows, lines, groups.
 
-        Each order is weighed as it was (sign -1) and as it is (sign 1), in one pass.
+        Each order is weighed as it was (sign -1) and as it is (sign 1), in one pass over ``lines_by_sign``.
         """
-        signed = before.withColumn("sign", F.explode(F.lit([-1, 1]))).unionByName(fresh.withColumn("sign", F.lit(1)))
-        distinct = signed.groupBy("sign", *LINE_KEYS).agg(F.sum("line_count").alias("line_count"))
-        grouped = dimension_groups(described(distinct), self.first_weekend_day, ["sign"])
-        known = attach_group_total(grouped, ["order_no", "sign"], "row_count", "order_rows").where("complete")
+        grouped = dimension_groups(described(signed), self.first_weekend_day, ["sign"])
+        known = complete_groups(attach_group_total(grouped, ["order_no", "sign"], "row_count", "order_rows"), "order_rows")
         rows = known.select(*SHARE, *[(F.col(c) * F.col("sign")).alias(c) for c in ("row_count", "line_count")], F.col("sign").cast("bigint").alias("groups"))
         return added(rows.withColumnRenamed("row_count", "rows"))
 
@@ -160,6 +161,17 @@ class OrderMetrics:
         return self.store.read("late", schema="header_id bigint, row string")
 
 
+def lines_by_sign(before: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Distinct lines of the touched orders as they were (sign -1) and as they are (sign 1); each stored line moves once."""
+    count = F.col("line_count")
+    both = before.select(*LINE_KEYS, count.alias("was"), count.alias("now")).unionByName(
+        fresh.select(*LINE_KEYS, F.lit(None).cast("bigint").alias("was"), count.alias("now"))
+    )
+    distinct = both.groupBy(*LINE_KEYS).agg(F.sum("was").alias("was"), F.sum("now").alias("now"))
+    states = F.array(*[F.struct(F.lit(sign).alias("sign"), F.col(c).alias("line_count")) for sign, c in ((-1, "was"), (1, "now"))])
+    return distinct.select(*LINE_KEYS, F.inline(F.filter(states, lambda x: x["line_count"].isNotNull())))
+
+
 def added(shares: DataFrame) -> DataFrame:
     return shares.groupBy(*SHARE).agg(*[F.sum(c).alias(c) for c in COUNTS]).where(" or ".join(f"{c} <> 0" for c in COUNTS))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from retailgrain.checks import standins as s
 from retailgrain.plans import weekly_metrics
+from retailgrain.plans.order_lines import LINE_KEYS
 from retailgrain.rules.fixed_values import metric_rules
 from retailgrain.session import shared_dir
 from retailgrain.streaming import (
@@ -23,6 +24,7 @@ from retailgrain.streaming import (
     weekly_counts,
     weekly_counts_stream,
 )
+from retailgrain.streaming.orders import lines_by_sign
 
 
 def rows_of(df):
@@ -48,6 +50,29 @@ def test_a_batch_counts_once(spark):
     assert rows_of(store.read("t")) == [(0, 5), (1, 6)] and len(store._names("parts/t")) == 2
 
 
+def test_a_stored_part_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    """Parts of one batch are made one after the other; files of all their shuffles would add up on disk."""
+    seen = []
+
+    class Rows:
+        schema = spark.range(1).schema
+        write = property(lambda self: self)
+
+        def parquet(self, path):
+            seen.append(spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled"))
+
+    PartStore(spark, str(tmp_path)).stage("t", Rows(), 0)
+    assert seen == ["true"]
+
+
+def test_lines_of_touched_orders_move_once(spark):
+    """Each line once, as it was and as it is; one that was not there has no earlier state, one that was has both."""
+    line = {c: "x" for c in LINE_KEYS} | {"order_date": dt.datetime(2021, 1, 5), "company_id": 1}
+    rows = lambda *counts: spark.createDataFrame([line | {"price": float(k), "line_count": n} for k, n in counts]).withColumn("line_count", F.col("line_count").cast("bigint"))
+    signed = lines_by_sign(rows((1, 2), (2, 0)), rows((2, 3), (2, 1), (3, 5)))
+    assert rows_of(signed.select("price", "sign", "line_count")) == [(1.0, -1, 2), (1.0, 1, 2), (2.0, -1, 0), (2.0, 1, 4), (3.0, 1, 5)]
+
+
 def test_batches_beside_a_fold_are_kept_and_a_second_fold_gives_way(spark):
     store = PartStore(spark, shared_dir(spark, "parts"))
     for batch in range(3):
